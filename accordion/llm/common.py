@@ -82,12 +82,16 @@ def byte_gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return gram_hashes(_SYMBOL[data], k)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+_WORD = ~SPACE
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word starts, word ends, and for each text the number of the first of its words
-    (one more entry than texts). ``offsets`` bound the texts in ``data``."""
+    (one more entry than texts). ``offsets`` bound the texts in ``data``; ``member``
+    tells which bytes words are made of."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = member[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -132,16 +136,17 @@ def window_minima(grams: np.ndarray, w: int) -> np.ndarray:
     n = len(grams) - w + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    # Doubling: the minimum of 2^j grams from two of 2^(j-1), then two that overlap.
-    place, reach, size = np.arange(len(grams), dtype=np.int64), grams, 1
+    # The upper half of a gram and, below it, its place counted from the right: the least
+    # of these is the rightmost of the smallest. Minima of 2^j values by doubling.
+    last = U64(0xFFFFFFFF)
+    least = (grams & ~last) | (last - np.arange(len(grams), dtype=U64))
+    size = 1
     while size * 2 <= w:
-        left, right = place[:-size], place[size:]
-        place = np.where(reach[size:] <= reach[:-size], right, left)
-        reach, size = grams[place], size * 2
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
     if size < w:
-        shift = w - size
-        place = np.where(reach[shift:] <= reach[:-shift], place[shift:], place[:-shift])
-    return place[:n]
+        least = np.minimum(least[: size - w], least[w - size :])
+    return (last - (least & last)).astype(np.int64)
 
 
 def shipped(spark: SparkSession) -> SparkSession:
@@ -243,7 +248,7 @@ def runs_cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int) -> DataFrame:
+def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int, piece: int = 4 << 20) -> DataFrame:
     """Anchors whose key occurs again, as rows (_id, _th, idx).
 
     ``anchors(data, offsets)`` gives for a slice of texts the keys of all their anchors
@@ -258,7 +263,7 @@ def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buc
     names = "key owner idx ids ths"
 
     def mapped(batches):
-        for group in _gathered(slices_of(batches), 12 << 20):
+        for group in _gathered(slices_of(batches, piece), 12 << 20):
             yield from _anchor_rows(group, anchors, distinct_rows, buckets)
 
     def reduced(table: pa.Table) -> pa.Table:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query name and the module that holds it.
 MODULES = {
+    "op4_toxicity": "toxicity",
+    "op6_media_columns": "media",
+    "op7_suffix_array_dedup": "suffix_dedup",
     "op9_substring_dedup": "substring_dedup",
 }
 
