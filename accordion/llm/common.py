@@ -105,7 +105,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = _WORD)
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a column of strings, and offsets (nulls: empty)."""
-    column = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string())
+    column = batch.column(batch.schema.get_field_index(name))
+    column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     n = len(column)
@@ -234,6 +235,20 @@ def unpack(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
+def address(ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
+    """One number for an address of two."""
+    return (mix(ids.view(U64)) ^ ths.view(U64)).view(np.int64)
+
+
+def text_anchors(anchors: Callable) -> Callable:
+    """For ``anchor_exchange``: anchors of the texts of keyed rows."""
+
+    def found(s: pa.RecordBatch):
+        return *anchors(*texts_of(s)), longs_of(s, "_id"), longs_of(s, "_th")
+
+    return found
+
+
 def sums_by(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values[bounds[i]:bounds[i + 1]]."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
@@ -248,12 +263,14 @@ def runs_cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int, piece: int = 4 << 20) -> DataFrame:
-    """Anchors whose key occurs again, as rows (_id, _th, idx).
+def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int, piece: int = 4 << 20, name: str = "text", lists: bool = False) -> DataFrame:
+    """Anchors whose key occurs again, as rows (_id, _th, idx); with
+    ``lists`` one row of a bucket's numbers (_id, _th, idxs: 32-bit numbers as binary).
 
-    ``anchors(data, offsets)`` gives for a slice of texts the keys of all their anchors
-    (64-bit), the text of each, and its number within the text. ``distinct_rows``: a key
-    counts once for each row, so it must occur in two rows; else twice anywhere.
+    ``anchors(slice)`` gives the keys of all anchors of a slice of rows (64-bit), the row of
+    each, its number within the row, and the rows' two address columns (rows of one
+    address count as one). ``distinct_rows``: a key counts once for each address, so it
+    must occur in two; else twice anywhere.
 
     Each task first reduces its own rows: of the occurrences of a key in one gathered
     batch only one travels, so a key that a third of all rows hold arrives at its
@@ -263,14 +280,15 @@ def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buc
     names = "key owner idx ids ths"
 
     def mapped(batches):
-        for group in _gathered(slices_of(batches, piece), 12 << 20):
+        for group in _gathered(slices_of(batches, piece, name), 12 << 20):
             yield from _anchor_rows(group, anchors, distinct_rows, buckets)
 
     def reduced(table: pa.Table) -> pa.Table:
-        return _anchor_verdict(table, distinct_rows)
+        found = _anchor_verdict(table, distinct_rows)
+        return _as_lists(found) if lists else found
 
     rows = docs.mapInArrow(mapped, packed_schema(names))
-    return rows.groupBy("bucket").applyInArrow(reduced, "_id long, _th long, idx int")
+    return rows.groupBy("bucket").applyInArrow(reduced, "_id long, _th long, " + ("idxs binary" if lists else "idx int"))
 
 
 def _gathered(slices: Iterable[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
@@ -288,16 +306,19 @@ def _gathered(slices: Iterable[pa.RecordBatch], most: int) -> Iterator[list[pa.R
 def _anchor_rows(group, anchors, distinct_rows, buckets):
     keys, owners, numbers, ids, ths, seen = [], [], [], [], [], 0
     for s in group:
-        data, offsets = texts_of(s)
-        key, owner, number = anchors(data, offsets)
+        key, owner, number, row_ids, row_ths = anchors(s)
         keys.append(key)
         owners.append((owner + seen).astype(np.uint32))
         numbers.append(number.astype(np.uint32))
-        ids.append(longs_of(s, "_id"))
-        ths.append(longs_of(s, "_th"))
+        ids.append(row_ids)
+        ths.append(row_ths)
         seen += s.num_rows
     key, owner, number = np.concatenate(keys), np.concatenate(owners), np.concatenate(numbers)
     ids, ths = np.concatenate(ids), np.concatenate(ths)
+    if distinct_rows:
+        _, first, inverse = np.unique(address(ids, ths), return_index=True, return_inverse=True)
+        own = (first[inverse] == np.arange(len(ids)))[owner]
+        key, owner, number = key[own], owner[own], number[own]
     if not len(key):
         return
     order = np.argsort(key, kind="stable")
@@ -328,7 +349,7 @@ def _anchor_rows(group, anchors, distinct_rows, buckets):
 
 def _anchor_verdict(table: pa.Table, distinct_rows: bool) -> pa.Table:
     keys, ids, ths, numbers, rows = [], [], [], [], []
-    out, seen = [], 0
+    out = []
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
         owner, number = get("owner", np.uint32), get("idx", np.uint32)
@@ -340,8 +361,7 @@ def _anchor_verdict(table: pa.Table, distinct_rows: bool) -> pa.Table:
         ids.append(row_ids[owner])
         ths.append(row_ths[owner])
         numbers.append(number)
-        rows.append(owner + np.int64(seen))
-        seen += len(row_ids)
+        rows.append(address(row_ids, row_ths)[owner])
     if keys:
         key, row = np.concatenate(keys), np.concatenate(rows)
         known, key = (key & np.uint32(1)).astype(bool), key >> np.uint32(1)
@@ -359,3 +379,13 @@ def _anchor_verdict(table: pa.Table, distinct_rows: bool) -> pa.Table:
         out.append((np.concatenate(ids)[hit], np.concatenate(ths)[hit], np.concatenate(numbers)[hit]))
     join = lambda i, t: np.concatenate([x[i] for x in out]).astype(t) if out else np.zeros(0, t)
     return pa.table({"_id": join(0, np.int64), "_th": join(1, np.int64), "idx": join(2, np.int32)})
+
+
+def _as_lists(found: pa.Table) -> pa.Table:
+    ids, ths, idx = (np.asarray(found.column(n)) for n in ("_id", "_th", "idx"))
+    order = np.lexsort((idx, ths, ids))
+    ids, ths, idx = ids[order], ths[order], idx[order].astype(np.uint32)
+    begin = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])][: len(ids)])
+    raw, bounds = idx.tobytes(), (np.r_[begin, len(idx)] * 4).tolist()
+    lists = [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return pa.table({"_id": ids[begin], "_th": ths[begin], "idxs": pa.array(lists, pa.binary())})

@@ -66,7 +66,7 @@ def repeated_spans(docs: DataFrame, k: int = 13) -> tuple[DataFrame, DataFrame]:
     def anchors(data, offsets):
         return super_edges(data, offsets, k)[:3]
 
-    hits = C.anchor_exchange(rows, anchors, True, buckets).groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
+    hits = C.anchor_exchange(rows, C.text_anchors(anchors), True, buckets).groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
     near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits")
 
     def edges(batches):

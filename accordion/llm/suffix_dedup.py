@@ -136,7 +136,7 @@ def removed_runs(docs: DataFrame, k: int = 400) -> tuple[DataFrame, DataFrame]:
     def anchors(data, offsets):
         return segments_of(data, offsets, k)[:3]
 
-    found = C.written(C.anchor_exchange(rows, anchors, False, buckets, PIECE), "repeats")
+    found = C.written(C.anchor_exchange(rows, C.text_anchors(anchors), False, buckets, PIECE), "repeats")
     # Occurrences of a row's minimisers: a hot one is known by the rows it was found in.
     hits = found.groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
     near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits")

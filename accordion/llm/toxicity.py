@@ -229,9 +229,11 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> dict | None:
     grid, active = x.grid()
     level = np.where(np.arange(WINDOW)[:, None] < x.length, token_odds[grid], -9).max(0) if len(x.start) else np.zeros(0)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in m.items()}
-    step = 0
-    for epoch in range(EPOCHS):
-        if epoch in (2, 4, 7):
+    step, batch = 0, 128 if len(y) >= 1000 else 32
+    # A small sample gets more epochs, so that there are about as many steps.
+    epochs = EPOCHS * min(8, max(1, 3000 // max(1, len(y))))
+    for epoch in range(epochs):
+        if epoch in (epochs * 2 // 9, epochs * 4 // 9, epochs * 7 // 9):
             vec = vectors(m, x)
             level = np.concatenate([forward(m, vec, *x.grid(slice(a, a + 8192)))[0] for a in range(0, len(x.start), 8192)])
         order = np.lexsort((level, x.owner))
@@ -239,8 +241,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> dict | None:
         extra = rng.permutation(len(x.start))[: len(last)]
         extra = extra[y[x.owner[extra]] == 0]
         chosen = rng.permutation(np.unique(np.r_[last, extra]))
-        for a in range(0, len(chosen), 128):
-            pick = np.sort(chosen[a : a + 128])  # the longest first, as grid() needs
+        for a in range(0, len(chosen), batch):
+            pick = np.sort(chosen[a : a + batch])  # the longest first, as grid() needs
             grid, active = x.grid(pick)
             # Only the tokens of this batch.
             used, local = np.unique(grid, return_inverse=True)
