@@ -1,3 +1,7 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from . import quality
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality.oracle(),
+}

@@ -22,13 +22,14 @@ from . import common as C
 WINDOW = 8
 #: Name, condition of a vote against, condition of a vote for (over the features below).
 RULES = [
-    ("symbols", "n_symbols > 0.3 * n_words", "n_symbols <= 0.05 * n_words"),
-    ("dup_lines", "n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0 and n_lines >= 2"),
-    ("repeats", "n_repeat_words > 0.15 * n_words", "n_repeat_words = 0"),
-    ("upper_case", "n_upper > 0.5 * word_chars", "n_upper <= 0.2 * word_chars"),
-    ("word_length", "word_chars < 2 * n_words or word_chars > 14 * n_words", "word_chars >= 3 * n_words and word_chars <= 10 * n_words"),
-    ("variety", "n_words >= 50 and n_distinct < 0.2 * n_words", "n_distinct >= 0.4 * n_words"),
-    ("exclaims", "n_exclaims > 0.3 * n_words", "n_exclaims <= 0.02 * n_words"),
+    ("symbols", "n_symbols > 0.3 * n_words", "false"),
+    ("dup_lines", "n_dup_lines > 0.3 * n_lines", "false"),
+    ("repeats", "n_repeat_words > 0.15 * n_words", "false"),
+    ("upper_case", "n_upper > 0.5 * word_chars", "false"),
+    ("word_length", "word_chars < 2 * n_words or word_chars > 14 * n_words", "false"),
+    ("variety", "n_words >= 50 and n_distinct < 0.2 * n_words", "false"),
+    ("exclaims", "n_exclaims > 0.3 * n_words", "false"),
+    ("plain", "n_symbols + n_exclaims > 0.2 * n_words or n_upper > 0.4 * word_chars", "n_symbols + n_exclaims <= 0.05 * n_words and n_upper <= 0.2 * word_chars"),
 ]
 BASE_FAILED = "(n_words < 20 or 100 * n_repeat_words > 30 * n_words)"
 ROUNDS, START, LOW, HIGH = 25, 0.8, 0.55, 0.99
@@ -58,9 +59,9 @@ def features(docs: DataFrame) -> DataFrame:
     # Only texts with a repeated window go further: windows with their places are sorted,
     # those equal to a neighbour are repeats, and the union of their words is counted.
     again = F.size(F.array_distinct("wins")) < F.size("wins")
-    rows = rows.withColumn("ordered", F.when(again, F.array_sort(F.transform("wins", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
+    rows = rows.withColumn("ordered", F.when(again, F.sort_array(F.transform("wins", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
     near = lambda j: F.get(F.col("ordered"), j)["x"]
-    rows = rows.withColumn("hits", F.when(F.col("ordered").isNotNull(), F.array_sort(F.transform(F.filter("ordered", lambda x, j: (x["x"] == F.coalesce(near(j - 1), ~x["x"])) | (x["x"] == F.coalesce(near(j + 1), ~x["x"]))), lambda x: x["i"]))))
+    rows = rows.withColumn("hits", F.when(F.col("ordered").isNotNull(), F.sort_array(F.transform(F.filter("ordered", lambda x, j: (x["x"] == F.coalesce(near(j - 1), F.bitwise_not(x["x"]))) | (x["x"] == F.coalesce(near(j + 1), F.bitwise_not(x["x"])))), lambda x: x["i"]))))
     gaps = F.transform("hits", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("hits"), j + 1) - p, F.lit(WINDOW))).cast("long"))
     return rows.withColumn("n_repeat_words", F.coalesce(F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))).drop("wins", "ordered", "hits")
 
@@ -70,13 +71,9 @@ def vote(against: str, favour: str):
     return F.expr(f"case when n_words > 0 and ({against}) then -1 when n_words > 0 and ({favour}) then 1 else 0 end")
 
 
-def _total(values, of):
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + of(x))
-
-
 def posteriors(patterns: DataFrame, n_rules: int) -> DataFrame:
     """votes, posterior, and the estimated share and accuracies, of patterns (votes, n)."""
-    one = patterns.agg(F.array_sort(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("rows"))
+    one = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("rows"))
     clamp = lambda x, low=LOW: F.greatest(F.lit(low), F.least(F.lit(HIGH), x))
 
     def posterior(p, votes):
@@ -138,8 +135,9 @@ def oracle() -> str:
 with recursive t as (select doc_id, coalesce(text, '') as t from documents),
 s as (select doc_id, t, list_filter(regexp_split_to_array(t, '{space}+'), lambda x: x <> '') as w,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from t),
-g as (select doc_id, unnest(range(1, len(w) - {WINDOW - 2})) as i, w from s where len(w) >= {WINDOW}),
-h as (select doc_id, i, count(*) over (partition by doc_id, array_to_string(w[i:i + {WINDOW - 1}], ' ')) as c from g),
+g as (select doc_id, unnest(list_transform(range(1, len(w) - {WINDOW - 2}), lambda i: {{'i': i, 'x': array_to_string(w[i:i + {WINDOW - 1}], ' ')}})) as g
+    from s where len(w) >= {WINDOW}),
+h as (select doc_id, g.i as i, count(*) over (partition by doc_id, g.x) as c from g),
 r as (select doc_id, i, lead(i) over (partition by doc_id order by i) as j from h where c > 1),
 rep as (select doc_id, sum(least({WINDOW}, coalesce(j - i, {WINDOW}))) as n from r group by doc_id),
 f as (select s.doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,

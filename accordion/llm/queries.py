@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query name and the module that holds it.
 MODULES = {
+    "op1_quality_rules": "quality",
+    "op3_ngram_jaccard_join": "ngram_join",
     "op4_toxicity": "toxicity",
     "op6_media_columns": "media",
     "op7_suffix_array_dedup": "suffix_dedup",
