@@ -1,7 +1,8 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-from . import quality
+from . import mixing, quality
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality.oracle(),
+    "op2_mixing_weights": mixing.oracle(),
 }

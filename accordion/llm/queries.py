@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name and the module that holds it.
 MODULES = {
     "op1_quality_rules": "quality",
+    "op2_mixing_weights": "mixing",
     "op3_ngram_jaccard_join": "ngram_join",
     "op4_toxicity": "toxicity",
+    "op5_best_fit_packing": "packing",
     "op6_media_columns": "media",
     "op7_suffix_array_dedup": "suffix_dedup",
+    "op8_token_counts": "token_counts",
     "op9_substring_dedup": "substring_dedup",
+    "op10_html_extraction": "html_text",
 }
 
 

@@ -237,7 +237,8 @@ def _segment_rows(group, k, buckets, hot):
         again[order] = np.repeat(occ > 1, occ)
         head, known = order[begin], occ > 1
         if again.any():
-            add(int(ids[0]) % buckets, 1, owner=owner[again], at=at[again].astype(np.uint32), lens=np.ones(again.sum(), np.uint32))
+            who, _, first, n = _runs(owner[again], owner[again], owner[again], at[again])
+            add(int(ids[0]) % buckets, 1, owner=who, at=first.astype(np.uint32), lens=n.astype(np.uint32))
         for no, (h_, k_) in C.split_buckets((C.mix(one[head]) >> C.U64(40)).astype(np.int64) % buckets, [head, known]):
             mine = np.concatenate([h_[~k_], h_[k_]])
             add(no, 2, hash1=one[mine], hash2=two[mine], known=np.r_[np.zeros((~k_).sum()), np.ones(k_.sum())].astype(np.uint32), owner=owner[mine], at=at[mine].astype(np.uint32))
@@ -298,12 +299,21 @@ def _segment_verdict(table: pa.Table, k: int) -> pa.Table:
         hit = np.zeros(len(one), bool)
         hit[order] = np.repeat(occ > 1, occ)
         hit &= flag == 0
-        out.append((ids[hit], ths[hit], at[hit], np.ones(hit.sum(), np.int64)))
+        row = C.address(ids[hit], ths[hit])
+        out.append(_runs(ids[hit], ths[hit], row, at[hit]))
     names = ("_id", "_th", "at", "n")
     kinds = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
     return pa.table({n: np.concatenate([x[i] for x in out]).astype(np.int64) if out else np.zeros(0, np.int64) for i, n in enumerate(names)}).cast(kinds)
 
 
+def _runs(ids, ths, row, at):
+    """Consecutive windows of a row as one run."""
+    order = np.lexsort((at, row))
+    ids, ths, row, at = ids[order], ths[order], row[order], at[order].astype(np.int64)
+    begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)][: len(row)])
+    return ids[begin], ths[begin], at[begin], np.diff(np.r_[begin, len(row)])
+
+
 def _blocks(order: np.ndarray, group: np.ndarray, distinct: list[bytes]):
     """Runs of whole minimiser groups of about BLOCK bytes."""
     block, size = [], 0
