@@ -195,11 +195,11 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``_id`` and ``_th`` address a row; text is never null."""
+def keyed(docs: DataFrame, *more) -> DataFrame:
+    """``_id`` and ``_th`` address a row; text is never null; then the columns ``more``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"), *more
     )
 
 

@@ -21,6 +21,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 MAX_SOURCES, STEPS = 100_000, 60
 #: Parameters of the registered query.
 ENTROPY, REPEATS, BLOCK_TOKENS = 0.97, 1.5, 20_000
@@ -68,9 +70,9 @@ def mix_weights(totals: dict[str, int], entropy: float, repeats: float, budget:
     return high, weights, b
 
 
-def plan(rows: DataFrame, entropy: float, repeats: float, block_tokens: int, budget: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """From rows (doc_id, src, n_tokens): the block of every row, and the blocks and texts
-    of the last pass. Returns rows with ``block``, ``weight``, ``copies``."""
+def plan(rows: DataFrame, entropy: float, repeats: float, block_tokens: int, budget: float | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From rows (doc_id, src, n_tokens): the goals of the sources, the rows with their
+    blocks, and the blocks of the last pass (taken whole, or the one that is cut)."""
     spark = rows.sparkSession
     by_source = rows.groupBy("src").agg(F.sum("n_tokens").alias("t")).limit(MAX_SOURCES + 1).collect()
     if len(by_source) > MAX_SOURCES:
@@ -88,7 +90,7 @@ def plan(rows: DataFrame, entropy: float, repeats: float, block_tokens: int, bud
     order = Window.partitionBy("src").orderBy(hashed("src", F.col("block").cast("string"), F.col("passes").cast("string")), "block")
     blocks = blocks.withColumn("until", F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     blocks = blocks.select("src", "block", (F.col("until") <= F.col("left")).alias("whole"), ((F.col("until") > F.col("left")) & (F.col("until") - F.col("t") < F.col("left"))).alias("cut"), (F.col("left") - F.col("until") + F.col("t")).alias("rest"))
-    return dealt, blocks.where("whole or cut")
+    return goals, dealt, blocks.where("whole or cut")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -96,19 +98,18 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def copies_of(rows: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block_tokens: int = BLOCK_TOKENS, budget: float | None = None) -> DataFrame:
-    """Rows (doc_id, src, n_tokens, and others) with weight, block and copies: how often
-    the mix has the text."""
-    dealt, blocks = plan(rows.select("doc_id", "src", "n_tokens"), entropy, repeats, block_tokens, budget)
+def copies_of(rows: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block_tokens: int = BLOCK_TOKENS, budget: float | None = None, onto: DataFrame | None = None) -> DataFrame:
+    """Rows (doc_id, src, n_tokens), or ``onto`` (doc_id, src and any others), with weight,
+    block and copies: how often the mix has the text."""
+    goals, dealt, blocks = plan(rows, entropy, repeats, block_tokens, budget)
     inside = Window.partitionBy("src", "block").orderBy(hashed(F.col("doc_id").cast("string"), F.col("passes").cast("string")), "doc_id")
     cut = dealt.join(_small(blocks.where("cut").select("src", "block", "rest")), ["src", "block"])
-    taken = cut.withColumn("until", F.sum("n_tokens").over(inside)).where("until <= rest").select("src", "block", F.col("doc_id").alias("_d")).distinct().withColumn("_part", F.lit(1))
-    goals = dealt.select("src", "weight", "n_blocks", "passes").distinct()
-    out = rows.join(F.broadcast(goals), "src").withColumn("block", F.pmod(hashed(F.col("doc_id").cast("string"), F.lit("block")), F.col("n_blocks")))
+    taken = cut.withColumn("until", F.sum("n_tokens").over(inside)).where("until <= rest")
+    taken = taken.select(F.col("src").alias("_s"), F.col("block").alias("_b"), F.col("doc_id").alias("_d")).distinct().withColumn("_part", F.lit(1))
+    out = (rows if onto is None else onto).join(F.broadcast(goals), "src").withColumn("block", F.pmod(hashed(F.col("doc_id").cast("string"), F.lit("block")), F.col("n_blocks")))
     out = out.join(_small(blocks.where("whole").select("src", "block", F.lit(1).alias("_whole"))), ["src", "block"], "left")
-    taken = _small(taken.withColumnRenamed("src", "_s").withColumnRenamed("block", "_b"))
-    out = out.join(taken, (F.col("src") == F.col("_s")) & (F.col("block") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
-    return out.withColumn("copies", F.col("passes") + F.coalesce("_whole", F.lit(0)) + F.coalesce("_part", F.lit(0))).drop("_whole", "_part", "_d", "_s", "_b", "n_blocks", "passes")
+    out = out.join(_small(taken), (F.col("src") == F.col("_s")) & (F.col("block") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    return out.withColumn("copies", F.col("passes") + F.coalesce("_whole", F.lit(0)) + F.coalesce("_part", F.lit(0))).drop("_whole", "_part", "_d", "_s", "_b", "n_blocks", "passes", "left")
 
 
 def token_rows(docs: DataFrame, *more: str) -> DataFrame:
@@ -117,14 +118,13 @@ def token_rows(docs: DataFrame, *more: str) -> DataFrame:
 
 def mixed(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The rows of docs, each as often as the mix has it."""
-    names = docs.columns
-    counts = copies_of(docs.select("*", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"), n_words(F.col("text")).alias("n_tokens")), entropy, repeats, block_tokens)
-    return counts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*names)
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    inner = inner.select("_row", F.col("_row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("_row.source").cast("string"), F.lit("")).alias("src"))
+    counts = copies_of(written(token_rows(docs), "tokens"), entropy, repeats, block_tokens, onto=inner)
+    return counts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("_row.*")
 
 
 def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import written
-
     rows = written(token_rows(spark.read.parquet(f"{sf_dir}/documents.parquet")), "tokens")
     return copies_of(rows).select("doc_id", F.col("src").alias("source"), "n_tokens", F.round("weight", 6).alias("weight"), "block", "copies")
 

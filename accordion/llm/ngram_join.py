@@ -321,6 +321,19 @@ def link_components(docs: DataFrame) -> DataFrame:
     return joined.select("_id", "_th", "n", F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("component")).alias("component"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs that are the smallest id of their component; rows of empty sets
+    stay. Of repeated rows and rows that share that id one stays."""
+    links = C.written(link_components(docs), "components")
+    least = links.where("n > 0 and _id = component").groupBy("_id").agg(F.min("_th").alias("_th"))
+    alone = links.where("n = 0").select("_id", "_th").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(C.NO_ID)).alias("_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_th"))
+    kept = rows.join(least.unionByName(alone).hint("shuffle_hash"), ["_id", "_th"], "left_semi")
+    if links.where("n > 0").groupBy("_id", "_th").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["_id", "_th"])
+    return kept.select("_row.*")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
     return link_components(docs).select(C.doc_id_of(F.col("_id")).alias("doc_id"), F.col("n").alias("n_shingles"), C.doc_id_of(F.col("component")).alias("component_id"))

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -58,16 +59,21 @@ def super_edges(data: np.ndarray, offsets: np.ndarray, k: int):
 
 
 def repeated_spans(docs: DataFrame, k: int = 13) -> tuple[DataFrame, DataFrame]:
-    """Keyed rows, and for each row with repeated edges its path pieces
+    """Keyed rows and their path pieces."""
+    return _spans(docs, k, (), ())
+
+
+def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFrame, DataFrame]:
+    """Keyed rows (with columns ``more``, called ``names``), and for each row with repeated edges its path pieces
     (_id, _th, pieces: first word and number of edges)."""
-    rows = C.keyed(docs)
+    rows = C.keyed(docs, *more)
     buckets = C.buckets_for(docs)
 
     def anchors(data, offsets):
         return super_edges(data, offsets, k)[:3]
 
-    hits = C.anchor_exchange(rows, C.text_anchors(anchors), True, buckets).groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
-    near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits")
+    hits = C.anchor_exchange(C.keyed(docs), C.text_anchors(anchors), True, buckets).groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
+    near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits", *names)
 
     def edges(batches):
         for group in C._gathered(C.slices_of(batches), 12 << 20):
@@ -174,11 +180,12 @@ def _kept(words: list[bytes], pieces, k: int) -> tuple[list[bytes], int, int]:
     return list(compress(words, ~gone)), len(turn) // 2, int((turn[1::2] - turn[::2]).max())
 
 
-def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False) -> DataFrame:
+def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False, more: tuple = (), names: tuple = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, n_paths,
-    longest_path, and with ``with_text`` kept_text (kept words joined by one space)."""
-    rows, paths = repeated_spans(docs, k)
-    joined = rows.join(paths.hint("shuffle_hash"), ["_id", "_th"], "left").select("_id", "_th", "text", "pieces")
+    longest_path, with ``with_text`` kept_text (kept words joined by one space), and the
+    columns ``more``, called ``names``."""
+    rows, paths = _spans(docs, k, more, names)
+    joined = rows.join(paths.hint("shuffle_hash"), ["_id", "_th"], "left").select("_id", "_th", "text", "pieces", *names)
     schema = "_id long, _th long, n_words long, n_removed long, kept_sha256 string, n_paths long, longest_path long" + ", kept_text string" * with_text
 
     def digest(batches):
@@ -193,13 +200,27 @@ def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False) -> DataFr
                 made.append((len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), n_paths, longest, body))
             cols = list(zip(*made, strict=True))
             data = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:2]), pa.array(cols[2], pa.string()), *(pa.array(c, pa.int64()) for c in cols[3:5])]
-            names = ["_id", "_th", "n_words", "n_removed", "kept_sha256", "n_paths", "longest_path"]
+            made_names = ["_id", "_th", "n_words", "n_removed", "kept_sha256", "n_paths", "longest_path"]
             if with_text:
                 data.append(pa.array(cols[5], pa.binary()).cast(pa.string()))
-                names.append("kept_text")
-            yield pa.RecordBatch.from_arrays(data, names=names)
-
-    return joined.mapInArrow(digest, schema)
+                made_names.append("kept_text")
+            yield pa.RecordBatch.from_arrays([*data, *(batch.column(batch.schema.get_field_index(n)) for n in names)], names=[*made_names, *names])
+
+    return joined.mapInArrow(digest, T.StructType([*T._parse_datatype_string(schema), *(joined.schema[n] for n in names)]))
+
+
+def without_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
+    """The rows of docs with repeated words taken out: text (as it was where nothing
+    repeats, else the kept words joined by one space) and n_chars follow."""
+    more = tuple(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns))
+    names = tuple(f"_c{i}" for i in range(len(docs.columns)))
+    found = dedup_words(docs, k, with_text=True, more=more, names=names)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text"))
+    columns = {c: F.col(f"_c{i}") for i, c in enumerate(docs.columns)}
+    columns["text"] = F.coalesce(text, columns["text"].cast("string"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(columns["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[v.alias(c) for c, v in columns.items()])
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -231,7 +232,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> dict | None:
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in m.items()}
     step, batch = 0, 128 if len(y) >= 1000 else 32
     # A small sample gets more epochs, so that there are about as many steps.
-    epochs = EPOCHS * min(8, max(1, 3000 // max(1, len(y))))
+    epochs = EPOCHS * min(4, max(1, 3000 // max(1, len(y))))
     for epoch in range(epochs):
         if epoch in (epochs * 2 // 9, epochs * 4 // 9, epochs * 7 // 9):
             vec = vectors(m, x)
@@ -288,20 +289,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     return train(texts, marks)
 
 
-def score_documents(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of docs (doc_id, text) as doc_id, score."""
-    model = None if model is None else {k: v.astype(np.float32) for k, v in model.items()}
+def score_documents(docs: DataFrame, model: dict | None, name: str = "score", keep: bool = False) -> DataFrame:
+    """The rows of docs with a score; without the text unless ``keep``."""
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    names = [n for n in docs.columns if n != "text" or keep]
 
     def scored(batches):
         for s in C.slices_of(batches, 2 << 20):
             text = pc.utf8_lower(s.column(s.schema.get_field_index("text")).cast(pa.large_string()))
             data, offsets = C.texts_of(pa.RecordBatch.from_arrays([text], names=["text"]))
-            cols = [s.column(i) for i, n in enumerate(s.schema.names) if n != "text" or keep_text]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(scores(model, data, offsets))], names=[*(n for n in s.schema.names if n != "text" or keep_text), "score"])
+            yield pa.RecordBatch.from_arrays([*(s.column(s.schema.get_field_index(n)) for n in names), pa.array(scores(model, data, offsets))], names=[*names, name])
 
-    keep_text = len(docs.columns) > 2
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text" or keep_text) + ", score double"
-    return docs.mapInArrow(scored, schema)
+    return rows.mapInArrow(scored, T.StructType([*(rows.schema[n] for n in names), T.StructField(name, T.DoubleType())]))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are not predicted toxic."""
+    scored = score_documents(docs, fit(docs, labels), "_score", keep=True)
+    return scored.where("_score < 0.5").select(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
