@@ -1,0 +1 @@
+"""Record reconciliation and data processing as DataFrame transformations."""
