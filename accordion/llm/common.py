@@ -169,7 +169,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def buckets_for(df: DataFrame, each: int = 4 << 20) -> int:
+def buckets_for(df: DataFrame, each: int = 8 << 20) -> int:
     """Buckets of a packed exchange: a number in proportion to the table's stored size."""
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -263,9 +263,10 @@ def runs_cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int, piece: int = 4 << 20, name: str = "text", lists: bool = False) -> DataFrame:
-    """Anchors whose key occurs again, as rows (_id, _th, idx); with
-    ``lists`` one row of a bucket's numbers (_id, _th, idxs: 32-bit numbers as binary).
+def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buckets: int, piece: int = 4 << 20, name: str = "text", form: str = "rows") -> DataFrame:
+    """Anchors whose key occurs again, as rows (_id, _th, idx). ``form``
+    "counts": idx is how many an address has in a bucket; "packed": rows (target, ids,
+    counts, idxs) of numbers by address, dealt to ``buckets`` targets by _id.
 
     ``anchors(slice)`` gives the keys of all anchors of a slice of rows (64-bit), the row of
     each, its number within the row, and the rows' two address columns (rows of one
@@ -285,10 +286,10 @@ def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buc
 
     def reduced(table: pa.Table) -> pa.Table:
         found = _anchor_verdict(table, distinct_rows)
-        return _as_lists(found) if lists else found
+        return found if form == "rows" else _as_counts(found) if form == "counts" else _as_packed(found, buckets)
 
     rows = docs.mapInArrow(mapped, packed_schema(names))
-    return rows.groupBy("bucket").applyInArrow(reduced, "_id long, _th long, " + ("idxs binary" if lists else "idx int"))
+    return rows.groupBy("bucket").applyInArrow(reduced, "target long, ids binary, counts binary, idxs binary" if form == "packed" else "_id long, _th long, idx int")
 
 
 def _gathered(slices: Iterable[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
@@ -336,8 +337,9 @@ def _anchor_rows(group, anchors, distinct_rows, buckets):
     out = []
 
     def add(bucket_no, kind, key, owner, number):
-        used, local = np.unique(owner, return_inverse=True)
-        out.append((bucket_no, kind, key, local.astype(np.uint32), number, ids[used], ths[used]))
+        # Entries stand by row: how many each row has says whose they are.
+        used, count = np.unique(owner, return_counts=True)
+        out.append((bucket_no, kind, key, count.astype(np.uint32), number, ids[used], ths[used]))
 
     short = (key & U64(0xFFFFFFFE)).astype(np.uint32) | known.astype(np.uint32)
     for b, (x, y, z) in split_buckets(bucket[sent], [short[sent], owner[sent], number[sent]]):
@@ -352,8 +354,8 @@ def _anchor_verdict(table: pa.Table, distinct_rows: bool) -> pa.Table:
     out = []
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
-        owner, number = get("owner", np.uint32), get("idx", np.uint32)
-        row_ids, row_ths = get("ids", np.int64), get("ths", np.int64)
+        row_ids, row_ths, number = get("ids", np.int64), get("ths", np.int64), get("idx", np.uint32)
+        owner = np.repeat(np.arange(len(row_ids)), get("owner", np.uint32))
         if table.column("kind")[r].as_py():
             out.append((row_ids[owner], row_ths[owner], number))
             continue
@@ -381,11 +383,26 @@ def _anchor_verdict(table: pa.Table, distinct_rows: bool) -> pa.Table:
     return pa.table({"_id": join(0, np.int64), "_th": join(1, np.int64), "idx": join(2, np.int32)})
 
 
-def _as_lists(found: pa.Table) -> pa.Table:
+def _by_address(found: pa.Table):
     ids, ths, idx = (np.asarray(found.column(n)) for n in ("_id", "_th", "idx"))
     order = np.lexsort((idx, ths, ids))
-    ids, ths, idx = ids[order], ths[order], idx[order].astype(np.uint32)
+    ids, ths, idx = ids[order], ths[order], idx[order]
     begin = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])][: len(ids)])
-    raw, bounds = idx.tobytes(), (np.r_[begin, len(idx)] * 4).tolist()
-    lists = [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    return pa.table({"_id": ids[begin], "_th": ths[begin], "idxs": pa.array(lists, pa.binary())})
+    return ids[begin], ths[begin], np.diff(np.r_[begin, len(ids)]), idx
+
+
+def _as_counts(found: pa.Table) -> pa.Table:
+    ids, ths, count, _ = _by_address(found)
+    return pa.table({"_id": ids, "_th": ths, "idx": count.astype(np.int32)})
+
+
+def _as_packed(found: pa.Table, targets: int) -> pa.Table:
+    ids, _, count, idx = _by_address(found)
+    lead = np.r_[0, np.cumsum(count)]
+    rows = []
+    for target, (which,) in split_buckets(ids % targets, [np.arange(len(ids))]):
+        take = np.repeat(lead[which] - np.r_[0, np.cumsum(count[which])[:-1]], count[which]) + np.arange(count[which].sum())
+        rows.append((target, ids[which].tobytes(), count[which].astype(np.int64).tobytes(), idx[take].astype(np.uint32).tobytes()))
+    names = ("target", "ids", "counts", "idxs")
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))})

@@ -151,7 +151,7 @@ class _Writer:
     def __init__(self, indent: str = ""):
         self.lines: list[str] = []
         self.now: list[str] = []
-        self.indent, self.blank, self.mark = indent, False, ""
+        self.indent, self.blank, self.mark, self.in_list = indent, False, "", False
 
     def inline(self, text: str) -> None:
         piece = _SPACE.sub(" ", text)
@@ -223,7 +223,7 @@ class Page:
             out.raw(self._table(node, depth))
             out.margin()
         elif tag in ("ul", "ol", "menu", "dir"):
-            nested = bool(out.indent) or bool(out.mark)
+            nested = out.in_list
             out.line() if nested else out.margin()
             self._list(node, out, depth)
             out.line() if nested else out.margin()
@@ -268,6 +268,7 @@ class Page:
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
                 inner = _Writer()
+                inner.in_list = True
                 self._children(child, inner, depth + 1) if depth < 200 else self._flat(child, inner)
                 inner.line()
                 lines = inner.lines or [""]

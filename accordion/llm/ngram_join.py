@@ -9,19 +9,23 @@ sets link when 100 * intersection >= 75 * union. Sets are globally ordered by ha
 2. For the candidates a second exchange marks all tokens that another candidate has. A
    token of one set alone never matches, so it only counts; a class with under three
    quarters of its tokens shared is alone. Classes with equal shared tokens are one
-   profile: whether two of its members link is arithmetic on their sizes, and each member
-   that links at all links with the smallest.
-3. Pairs of profiles that share a prefix token are verified by a prefix-tree join: the
-   partners of one profile stand in a trie (sorted lists; a node is the run up to the
-   next branching), overlaps are carried from the shared path, and a subtree is pruned
-   when the overlap so far and the remaining length can't reach the bound. First each
-   profile meets one leader only; after connected components, all pairs that are still in
-   different components follow. So no link that joins components is lost, and no group
-   of near copies is expanded into all pairs.
+   profile: whether two of its members link is arithmetic on their sizes. A member that
+   links with any links with the smallest, the head; the others do not link among
+   themselves, and the smallest of them speaks for them: a set that it doesn't link with
+   links with none, and with the overlap the rest is arithmetic again.
+3. Prefix-tree join: heads that share a prefix token are first gathered in clusters (each
+   with the leader that most of its prefix tokens name), cut into blocks of about
+   ``BLOCK`` sets that share some pivots. A block's sets are stored in a trie, its tokens
+   in a global order; each set goes down the trie once: overlaps are carried from the
+   shared path, and a subtree is pruned when the overlap so far and the remaining lengths
+   can't reach the bound. Links become connected components.
+4. Heads that share a prefix token and are still in different components meet likewise:
+   those of the smaller component go down the tries of the larger one's blocks. So no
+   link that joins components is lost, and no group of near copies becomes all its pairs.
 
 Defined results: null or empty text has an empty set and is alone, as is its component;
 a null doc_id counts as the smallest long; repeated rows are copies. Two different sets
-are taken as one class only if 128 bits of hash agree.
+are taken as one class only if 128 bits of hash agree; linking names a class by 64.
 """
 
 from __future__ import annotations
@@ -36,7 +40,8 @@ from . import common as C
 SHINGLE = 5
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_TOKENS = "token owner pids sizes smallest labels even"
+_TOKENS = "token owner sids pids ns sizes labels members"
+BLOCK, PIVOTS = 800, 8
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +83,8 @@ def _first_tokens(s: pa.RecordBatch):
     take = np.minimum(n, n // 4 + -(-n // 12))
     owner = np.repeat(np.arange(len(n)), take)
     at = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(take)[:-1]], take) + lead[:-1][owner]
-    return tokens[at], owner, n[owner], *_set_hash(tokens, lead)
+    first, _ = _set_hash(tokens, lead)
+    return tokens[at], owner, np.zeros(len(owner), np.int64), first, np.zeros(len(first), np.int64)
 
 
 def _all_tokens(s: pa.RecordBatch):
@@ -119,10 +125,10 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """Classes that may link: _id (s1), _th (s2), n, tokens."""
-    buckets = C.buckets_for(docs)
-    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, buckets)
-    classes = hits.groupBy(F.col("_id").alias("s1"), F.col("_th").alias("s2")).agg(F.count(F.lit(1)).alias("c"), F.max("idx").alias("m")).where("16 * c >= m").select("s1", "s2")
-    reps = sets.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_th")).alias("r")).join(classes, ["s1", "s2"]).select("r._id", "r._th")
+    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, C.buckets_for(docs, 16 << 20), form="counts")
+    counts = hits.groupBy(F.col("_id").alias("s1")).agg(F.sum("idx").alias("c"))
+    reps = sets.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_th")).alias("r"), F.first("n").alias("n"))
+    reps = reps.join(counts, "s1").where("16 * c >= n").select("r._id", "r._th")
 
     def made(batches):
         for s in C.slices_of(batches):
@@ -130,143 +136,267 @@ def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
             yield _batch("_id _th n tokens", *_set_hash(tokens, lead), np.diff(lead), _binary(tokens, lead))
 
     near = C.keyed(docs).join(reps.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text")
-    return near.mapInArrow(made, "_id long, _th long, n long, tokens binary").dropDuplicates(["_id", "_th"])
+    if sets.groupBy("_id", "_th").count().where("count > 1").limit(1).count():  # repeated rows
+        near = near.dropDuplicates(["_id", "_th"])
+    return near.mapInArrow(made, "_id long, _th long, n long, tokens binary")
 
 
-def _profiles(candidates: DataFrame, buckets: int) -> DataFrame:
+def _members(candidates: DataFrame, buckets: int) -> DataFrame:
     """sid, n, pid, ns, tokens (shared ones): candidates with enough shared tokens."""
-    shared = C.anchor_exchange(candidates.select("_id", "_th", "tokens"), _all_tokens, True, buckets, name="tokens", lists=True)
-    marked = candidates.join(shared.groupBy("_id", "_th").agg(F.collect_list("idxs").alias("idxs")), ["_id", "_th"])
+    shared = C.anchor_exchange(candidates.select("_id", "_th", "tokens"), _all_tokens, True, buckets, name="tokens", form="packed")
 
-    def made(batches):
-        for s in C.slices_of(batches, name="tokens"):
+    def made(left: pa.Table, right: pa.Table) -> pa.Table:
+        get = lambda n, t: np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(n)] or [np.zeros(0, t)])
+        ids, count, at = get("ids", np.int64), get("counts", np.int64), get("idxs", np.uint32)
+        out = []
+        for s in left.combine_chunks().to_batches():
             tokens, lead = _lists(s, "tokens")
+            own = C.longs_of(s, "_id")
+            order = np.argsort(own, kind="stable")
+            row = order[np.minimum(np.searchsorted(own[order], ids), len(own) - 1)]
+            row, known = np.repeat(row, count), np.repeat(own[row] == ids, count)
             mark = np.zeros(len(tokens), bool)
-            for a, lists in zip(lead[:-1].tolist(), s.column(s.schema.get_field_index("idxs")), strict=True):
-                for x in lists.values:
-                    mark[a + np.frombuffer(x.as_buffer(), np.uint32)] = True
+            mark[lead[row[known]] + at[known]] = True
             n, ns = np.diff(lead), C.sums_by(mark, lead)
             keep = 4 * ns >= 3 * n
             mark &= np.repeat(keep, n)
-            own, begin = tokens[mark], np.r_[0, np.cumsum(np.where(keep, ns, 0))]
-            pid = _set_hash(own, begin)[0]
-            rows = _batch("sid n pid ns tokens", C.longs_of(s, "_id"), n, pid, ns, _binary(own, begin))
-            yield rows.filter(pa.array(keep))
+            shared_tokens, begin = tokens[mark], np.r_[0, np.cumsum(np.where(keep, ns, 0))]
+            pid = _set_hash(shared_tokens, begin)[0]
+            out.append(_batch("sid n pid ns tokens", own, n, pid, ns, _binary(shared_tokens, begin)).filter(pa.array(keep)))
+        kinds = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("pid", pa.int64()), ("ns", pa.int64()), ("tokens", pa.binary())])
+        return pa.Table.from_batches(out, kinds) if out else kinds.empty_table()
 
-    return marked.select("_id", "tokens", "idxs").mapInArrow(made, "sid long, n long, pid long, ns long, tokens binary")
+    dealt = candidates.select(F.pmod("_id", F.lit(buckets)).alias("target"), "_id", "tokens")
+    return dealt.groupBy("target").cogroup(shared.groupBy("target")).applyInArrow(made, "sid long, n long, pid long, ns long, tokens binary")
 
 
 def _token_rows(batches, buckets):
     for s in C.slices_of(batches, name="tokens"):
         tokens, lead = _lists(s, "tokens")
-        pid, least, label, even = (C.longs_of(s, c) for c in ("pid", "least", "label", "even"))
+        sid, pid, n, label, members = (C.longs_of(s, c) for c in ("sid", "pid", "n", "label", "members"))
         ns = np.diff(lead)
-        take = np.maximum(0, np.minimum(ns, ns + (-3 * least) // 4 + 1))  # ns - ceil(.75 least) + 1
+        take = np.maximum(0, np.minimum(ns, ns + (-3 * n) // 4 + 1))  # ns - ceil(.75 n) + 1
         owner = np.repeat(np.arange(len(ns)), take)
         at = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(take)[:-1]], take) + lead[:-1][owner]
         token = tokens[at]
         rows = []
         for b, (t, o) in C.split_buckets((C.mix(token) >> C.U64(40)).astype(np.int64) % buckets, [token, owner]):
-            used, local = np.unique(o, return_inverse=True)
-            rows.append((b, 0, t, local.astype(np.uint32), pid[used], ns[used], least[used], label[used], even[used]))
+            used, count = np.unique(o, return_counts=True)
+            rows.append((b, 0, t, count.astype(np.uint32), sid[used], pid[used], n[used], ns[used], label[used], members[used]))
         if rows:
             yield C.packed(rows, _TOKENS)
 
 
-def _pairs_of(table: pa.Table, star: bool) -> pa.Table:
-    """Pairs of profiles with a common prefix token. star: each with its group's leader, the
-    one of smallest members that can still link; else all that are not yet connected."""
-    parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+def _groups(table: pa.Table):
+    """Heads by prefix token: token groups of two heads and more, as arrays."""
+    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
-        owner = get("owner", np.uint32)
-        for p, x in zip(parts, (get("token", np.uint64), *(get(n, np.int64)[owner] for n in ("pids", "sizes", "smallest", "labels", "even"))), strict=True):
+        count = get("owner", np.uint32)
+        for p, x in zip(parts, (get("token", np.uint64), *(np.repeat(get(n, np.int64), count) for n in ("sids", "pids", "ns", "sizes", "labels", "members"))), strict=True):
             p.append(x)
-    token, pid, ns, least, label, even = (np.concatenate(p) for p in parts)
-    order = np.lexsort((pid, least, token))
-    token, pid, ns, least, label, even = (x[order] for x in (token, pid, ns, least, label, even))
-    begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    size = np.diff(np.r_[begin, len(token)])
-    out = []
-    if star:
-        group = np.repeat(np.arange(len(begin)), size)
-        lead = begin[group]
-        # A leader too small for a member: the next of the group, as far as the first fit.
-        fits = lambda i, j: 7 * np.minimum(ns[i], ns[j]) >= 3 * (least[i] + least[j])
-        me = np.arange(len(token))
-        low = np.searchsorted(least + group * (least.max() + 1), group * (least.max() + 1) + np.maximum(1, 3 * least // 4)) if len(token) else me
-        lead = np.minimum(np.maximum(lead, low), me)
-        ok = (lead != me) & fits(lead, me) & (pid[lead] != pid)
-        out.append((pid[me[ok]], pid[lead[ok]]))
-    else:
-        for a, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-            if even[a : a + n].all() and (label[a : a + n] == label[a]).all():
-                continue
-            for j in range(1, n):
-                i = np.arange(a, a + j)
-                b = a + j
-                ok = (pid[i] != pid[b]) & (7 * np.minimum(ns[i], ns[b]) >= 3 * (least[i] + least[b])) & ((label[i] != label[b]) | (even[i] == 0) | (even[b] == 0))
-                if ok.any():
-                    out.append((np.full(ok.sum(), pid[b]), pid[i[ok]]))
-    p, q = (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in (0, 1))
-    pairs, votes = np.unique(np.stack([p, q], 1), axis=0, return_counts=True) if len(p) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+    cols = [np.concatenate(p) for p in parts]
+    # Of a profile the head and the smallest member that does not link with it: they have
+    # every prefix token that larger ones have.
+    token, sid, pid, n, ns = cols[:5]
+    order = np.lexsort((sid, n, pid, token))
+    cols = [c[order] for c in cols]
+    token, sid, pid, n, ns = cols[:5]
+    new = np.r_[True, (token[1:] != token[:-1]) | (pid[1:] != pid[:-1])][: len(token)]
+    head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(token) else np.zeros(0, np.int64)
+    apart = 7 * ns < 3 * (n + n[head])
+    apart[new] = False
+    first = apart & ~np.r_[False, apart[:-1]][: len(apart)]
+    cols = [c[new | first] for c in cols]
+    begin = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
+    size = np.diff(np.r_[begin, len(cols[0])])
+    many = np.repeat(size > 1, size)
+    return [c[many] for c in cols]
+
+
+def _leaders(table: pa.Table) -> pa.Table:
+    """Votes (p, q): q leads a token group of p, as the one with the fewest tokens of its own."""
+    token, sid, _, n, ns, _, _ = _groups(table)
+    order = np.lexsort((sid, (n - ns) / np.maximum(1, n), token))
+    token, sid = token[order], sid[order]
+    begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+    lead = np.repeat(sid[begin], np.diff(np.r_[begin, len(token)]))
+    pairs, votes = np.unique(np.stack([sid, lead], 1), axis=0, return_counts=True) if len(sid) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
     return pa.table({"p": pairs[:, 0].copy(), "q": pairs[:, 1].copy(), "votes": votes.astype(np.int64)})
 
 
-def _trie_overlaps(batches):
-    """Exact overlaps of pairs, by a trie of the partners of each leader."""
-    for batch in batches:
-        p, q, bound = (C.longs_of(batch, c) for c in ("p", "q", "bound"))
-        mine, lead = _lists(batch, "tokens")
-        other = batch.column(batch.schema.get_field_index("other")).cast(pa.large_binary())
-        overlap = np.full(len(p), -1, np.int64)
-        order = np.argsort(q, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(q[order])) + 1):
-            if not len(group):
-                continue
-            against = np.frombuffer(other[int(group[0])].as_buffer(), np.uint64)
-            sets = [mine[lead[i] : lead[i + 1]] for i in group]
-            # In lexicographic order neighbours share the path to their branching.
-            path, carried = np.zeros(0, np.uint64), np.zeros(1, np.int64)
-            for j in sorted(range(len(sets)), key=lambda j: sets[j][:64].tolist()):
-                own, need = sets[j], bound[group[j]]
-                n = min(len(path), len(own))
-                differs = np.flatnonzero(path[:n] != own[:n])
-                depth = min(int(differs[0]) if len(differs) else n, len(carried) - 1)
-                counts, pruned = [carried[: depth + 1]], False
-                so_far, at = int(carried[depth]), depth
-                while at < len(own):
-                    if so_far + min(len(own) - at, len(against) - int(np.searchsorted(against, own[at]))) < need:
-                        pruned = True
-                        break
-                    run = own[at : at + 256]
-                    place = np.minimum(np.searchsorted(against, run), len(against) - 1)
-                    counts.append(so_far + np.cumsum(against[place] == run))
-                    so_far, at = int(counts[-1][-1]), at + len(run)
-                path, carried = own[:at], np.concatenate(counts)
-                if not pruned and so_far >= need:
-                    overlap[group[j]] = so_far
-        hit = overlap >= 0
-        yield _batch("p q overlap", p[hit], q[hit], overlap[hit])
-
-
-def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """p, q, overlap of the pairs of profiles of which some members link."""
-    side = profiles.select(F.col("pid").alias("q"), F.col("tokens").alias("other"), F.col("least").alias("q_least"))
-    rows = pairs.join(profiles.select(F.col("pid").alias("p"), "tokens", "least"), "p").join(side, "q")
-    bound = F.ceil(3 * (F.col("least") + F.col("q_least")) / 7).cast("long")
-    return rows.select("p", "q", "tokens", "other", bound.alias("bound")).mapInArrow(_trie_overlaps, "p long, q long, overlap long")
-
-
-def _links(pairs: DataFrame, members: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Links of the members of linked profiles with the other's smallest member."""
-    least = profiles.select("pid", "least", "head")
-    found = None
-    for a, b in (("p", "q"), ("q", "p")):
-        side = pairs.select(F.col(a).alias("pid"), F.col(b).alias("of"), "overlap").join(least.select(F.col("pid").alias("of"), "least", "head"), "of").select("pid", "overlap", "least", "head")
-        one = members.join(side, "pid").where("7 * overlap >= 3 * (n + least)").select(F.col("sid").alias("u"), F.col("head").alias("v"))
-        found = one if found is None else found.unionByName(one)
-    return found
+def _meetings(table: pa.Table) -> pa.Table:
+    """(label, sid): a head that shares a token with a larger component than its own."""
+    token, sid, _, _, _, label, members = _groups(table)
+    out = []
+    order = np.lexsort((label, -members, token))
+    token, sid, label = token[order], sid[order], label[order]
+    begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+    for a, b in zip(begin, np.r_[begin[1:], len(token)], strict=True):
+        if label[a] == label[b - 1]:
+            continue
+        first = np.flatnonzero(np.r_[True, label[a + 1 : b] != label[a : b - 1]])  # labels, the largest first
+        for k, at in enumerate(first[:-1]):
+            later = sid[a + first[k + 1] : b]
+            out.append(np.stack([np.full(len(later), label[a + at]), later], 1))
+        if sum(map(len, out)) > 1 << 20:
+            out = [np.unique(np.concatenate(out), axis=0)]
+    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return pa.table({"label": pairs[:, 0].copy(), "sid": pairs[:, 1].copy()})
+
+
+class Trie:
+    """Sorted sets as a compressed prefix tree; a node is the run up to the next branching."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
+        # The global order of tokens: the commonest first, so that like sets share paths.
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        self.known, inverse, count = np.unique(every, return_inverse=True, return_counts=True)
+        self.rank = np.empty(len(self.known), np.int64)
+        self.rank[np.lexsort((self.known, -count))] = np.arange(len(self.known))
+        ranks = self.rank[inverse]
+        cuts = np.cumsum([len(s) for s in sets])[:-1]
+        paths = [np.sort(x) for x in np.split(ranks, cuts)] if sets else []
+        self.order = sorted(range(len(sets)), key=lambda i: paths[i].astype(">u4").tobytes())
+        parent, begin, end, depth, leaf = [-1], [0], [0], [0], []
+        run: list[np.ndarray] = []
+        stack, used, before = [(0, 0)], 0, np.zeros(0, np.int64)  # (node, its depth in tokens)
+        for i in self.order:
+            path = paths[i]
+            m = min(len(before), len(path))
+            differ = np.flatnonzero(before[:m] != path[:m])
+            shared = int(differ[0]) if len(differ) else m
+            while stack[-1][1] > shared:
+                node, at = stack.pop()
+                if stack[-1][1] < shared:
+                    # The run is split where the paths part.
+                    top, high = stack[-1]
+                    parent.append(top)
+                    begin.append(begin[node])
+                    end.append(begin[node] + shared - high)
+                    depth.append(shared)
+                    begin[node], parent[node] = end[-1], len(parent) - 1
+                    stack.append((len(parent) - 1, shared))
+            if len(path) > shared:
+                parent.append(stack[-1][0])
+                begin.append(used)
+                run.append(path[shared:])
+                used += len(path) - shared
+                end.append(used)
+                depth.append(len(path))
+                stack.append((len(parent) - 1, len(path)))
+            leaf.append(stack[-1][0])
+            before = path
+        self.run = np.concatenate(run) if run else np.zeros(0, np.int64)
+        self.parent, self.begin, self.end, self.depth = (np.array(x, np.int64) for x in (parent, begin, end, depth))
+        self.leaf = np.empty(len(sets), np.int64)
+        self.leaf[self.order] = leaf
+        self.sizes = sizes
+        # Levels from the root; what each subtree can still give, and its smallest set.
+        level = np.zeros(len(parent), np.int64)
+        self.levels = [np.array([0])]
+        rest = np.ones(len(parent), bool)
+        rest[0] = False
+        while rest.any():
+            mine = np.flatnonzero(rest & ~rest[self.parent])
+            level[mine] = len(self.levels)
+            self.levels.append(mine)
+            rest[mine] = False
+        self.deepest = self.depth.copy()
+        self.least = np.full(len(parent), 1 << 40)
+        np.minimum.at(self.least, self.leaf, sizes)
+        for nodes in self.levels[:0:-1]:
+            np.maximum.at(self.deepest, self.parent[nodes], self.deepest[nodes])
+            np.minimum.at(self.least, self.parent[nodes], self.least[nodes])
+        self.last = np.where(self.end > self.begin, self.run[np.maximum(self.end - 1, 0)] if used else 0, -1)
+
+    def links(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sets that link with a set of these tokens and size, and the overlaps."""
+        at = np.minimum(np.searchsorted(self.known, tokens), max(0, len(self.known) - 1))
+        mine = np.sort(self.rank[at[self.known[at] == tokens]]) if len(self.known) else np.zeros(0, np.int64)
+        member = np.zeros(len(self.known) + 1, np.int64)
+        member[mine] = 1
+        total = np.r_[0, np.cumsum(member[self.run])]
+        gain = total[self.end] - total[self.begin]
+        need = -(-3 * (n + self.least) // 7)
+        left = len(mine) - np.searchsorted(mine, self.last, "right")
+        overlap, alive = np.zeros(len(self.parent), np.int64), np.zeros(len(self.parent), bool)
+        alive[0] = True
+        for nodes in self.levels[1:]:
+            nodes = nodes[alive[self.parent[nodes]]]
+            if not len(nodes):
+                break
+            overlap[nodes] = overlap[self.parent[nodes]] + gain[nodes]
+            alive[nodes] = overlap[nodes] + np.minimum(self.deepest[nodes] - self.depth[nodes], left[nodes]) >= need[nodes]
+        hit = np.flatnonzero(alive[self.leaf] & (7 * overlap[self.leaf] >= 3 * (n + self.sizes)))
+        return hit, overlap[self.leaf[hit]]
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links (u, v, overlap) inside a block: asking rows go down the trie of the stored ones.
+    Links that join nothing new are left out, but for sets that speak for others."""
+    sid, n, asks, stored, speaks = (np.asarray(table.column(c)) for c in ("sid", "n", "asks", "stored", "speaks"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in table.column("tokens").chunks for x in chunk]
+    inside = np.flatnonzero(stored)
+    trie = Trie([sets[i] for i in inside], n[inside])
+    group = np.arange(len(sid))
+
+    def root(x):
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(asks):
+        hit, overlap = trie.links(sets[i], int(n[i]))
+        for j, shared in zip(inside[hit].tolist(), overlap.tolist(), strict=True):
+            a, b = root(int(i)), root(j)
+            if a != b or (speaks[i] or speaks[j]) and sid[i] != sid[j]:
+                group[max(a, b)] = min(a, b)
+                out.append((sid[i], sid[j], shared))
+    return pa.table({name: pa.array([x[k] for x in out], pa.int64()) for k, name in enumerate(("u", "v", "overlap"))})
+
+
+def _all_links(links: DataFrame, slim: DataFrame, speakers: DataFrame) -> DataFrame:
+    """The links found, and those of the members that a speaker speaks for."""
+    both = links.select("u", "v", "overlap").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "overlap"))
+    spoken = both.join(speakers.select(F.col("sid").alias("u"), "pid", "least"), "u").join(slim.select(F.col("sid").alias("v"), F.col("n").alias("size")), "v")
+    members = slim.select("pid", "sid", "n", "ns")
+    more = spoken.join(members, "pid").where("7 * ns < 3 * (n + least) and 7 * overlap >= 3 * (n + size)")
+    return links.select("u", "v").unionByName(more.select(F.col("sid").alias("u"), "v"))
+
+
+def _in_clusters(heads: DataFrame, clusters: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Links inside clusters (sid, cluster): blocks of about BLOCK sets with common pivots."""
+    size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    dealt = clusters.join(size, "cluster").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    # Pivots are the sets with the fewest tokens of their own, from a fixed share of sids.
+    rank = F.struct(F.col("own"), F.col("sid"))
+    small = heads.select("sid", ((F.col("n") - F.col("ns")) / F.col("n")).alias("own"))
+    pivots = dealt.where("blocks > 1").join(small, "sid").groupBy("cluster", F.pmod(F.xxhash64("sid"), F.lit(PIVOTS)).alias("part")).agg(F.min(rank).alias("r")).select("cluster", F.col("r.sid").alias("sid"), F.lit(True).alias("pivot"))
+    dealt = dealt.join(pivots, ["cluster", "sid"], "left")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    rows = dealt.select("sid", "cluster", F.explode(F.when(F.col("pivot"), every).otherwise(own)).alias("block"))
+    rows = heads.join(_speaking(rows, speakers), "sid").select("cluster", "block", "sid", "n", "speaks", "tokens", F.lit(True).alias("asks"), F.lit(True).alias("stored"))
+    return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
+
+
+def _speaking(rows: DataFrame, speakers: DataFrame) -> DataFrame:
+    marked = rows.join(speakers.select("sid", F.lit(True).alias("speaks")), "sid", "left")
+    return marked.withColumn("speaks", F.coalesce("speaks", F.lit(False)))
+
+
+def _across(heads: DataFrame, labels: DataFrame, meetings: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Links between heads and larger components (label, sid) that they share a token with."""
+    wanted = meetings.select("label").distinct()
+    of = labels.join(wanted, "label")
+    blocks = of.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    stored = of.join(blocks, "label").select("label", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"), "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
+    asking = meetings.join(blocks, "label").select("label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
+    rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asking), speakers), "sid")
+    return rows.groupBy("label", "block").applyInArrow(_block_links, "u long, v long, overlap long")
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -291,25 +421,33 @@ def link_components(docs: DataFrame) -> DataFrame:
     sets = C.written(document_sets(docs), "sets")
     candidates = C.written(_candidates(docs, sets), "candidates")
     buckets = C.buckets_for(candidates)
-    members = C.written(_profiles(candidates, buckets), "members")
-    profiles = C.written(
-        members.groupBy("pid").agg(F.min("n").alias("least"), F.min(F.struct("n", "sid")).alias("h"), F.first("ns").alias("ns"), F.first("tokens").alias("tokens")).select("pid", "least", F.col("h.sid").alias("head"), "ns", "tokens"),
-        "profiles",
-    )
-    members = members.select("sid", "n", "pid", "ns")
-    inside = members.join(profiles.select("pid", "least", "head"), "pid").where("7 * ns >= 3 * (n + least)").select(F.col("sid").alias("u"), F.col("head").alias("v"))
-
-    def pairs(rows: DataFrame, star: bool) -> DataFrame:
-        packed = rows.select("pid", "least", "label", "even", "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
-        return packed.groupBy("bucket").applyInArrow(lambda t: _pairs_of(t, star), "p long, q long, votes long")
-
-    first = pairs(profiles.withColumns({"label": F.col("pid"), "even": F.lit(1).cast("long")}), True)
-    best = first.groupBy("p", "q").agg(F.sum("votes").alias("votes")).groupBy("p").agg(F.max(F.struct("votes", "q")).alias("b")).select("p", F.col("b.q").alias("q"))
-    edges = C.written(inside.unionByName(_links(C.written(_verified(best, profiles), "overlaps"), members, profiles)), "links")
+    members = C.written(_members(candidates, buckets), "members")
+    slim = members.select("sid", "n", "pid", "ns")
+    profiles = slim.groupBy("pid").agg(F.min(F.struct("n", "sid")).alias("h"), F.count(F.lit(1)).alias("size")).select("pid", F.col("h.n").alias("least"), F.col("h.sid").alias("head"), "size")
+    profiles = C.written(profiles, "profiles")
+    # Members of one profile link with its head, if at all.
+    inside = slim.join(profiles, "pid").where("7 * ns >= 3 * (n + least) and sid <> head").select(F.col("sid").alias("u"), F.col("head").alias("v"))
+
+    def token_groups(rows: DataFrame, reduce, schema: str) -> DataFrame:
+        packed = rows.select("sid", "pid", "n", "label", "members", "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
+        return packed.groupBy("bucket").applyInArrow(reduce, schema)
+
+    votes = token_groups(members.withColumns({"label": F.col("sid"), "members": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
+    best = votes.groupBy("p", "q").agg(F.sum("votes").alias("votes")).groupBy("p").agg(F.max(F.struct(F.when(F.col("p") != F.col("q"), F.col("votes")).otherwise(0).alias("votes"), "q")).alias("b")).select("p", F.col("b.q").alias("q"))
+    clusters = components(best.select(F.col("p").alias("u"), F.col("q").alias("v"))).select(F.col("node").alias("sid"), F.col("label").alias("cluster"))
+    apart = slim.join(profiles, "pid").where("7 * ns < 3 * (n + least)").groupBy("pid").agg(F.min(F.struct("n", "sid")).alias("r"), F.count(F.lit(1)).alias("c"), F.first("least").alias("least"))
+    speakers = C.written(apart.where("c > 1").select(F.col("r.sid").alias("sid"), "pid", "least"), "speakers")
+    found = C.written(_in_clusters(members, clusters, speakers), "found")
+    edges = C.written(inside.unionByName(_all_links(found, slim, speakers)), "links")
     labels = components(edges)
-    seen = members.join(labels, F.col("sid") == F.col("node"), "left").groupBy("pid").agg(F.min(F.coalesce("label", "sid")).alias("label"), (F.min(F.coalesce("label", "sid")) == F.max(F.coalesce("label", "sid"))).cast("long").alias("even"))
-    rest = pairs(profiles.join(seen, "pid"), False).select("p", "q").distinct()
-    more = C.written(_links(C.written(_verified(rest, profiles), "overlaps"), members, profiles), "links")
+    known = slim.select("sid").join(labels, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("label"))
+    known = known.join(known.groupBy("label").agg(F.count(F.lit(1)).alias("members")), "label")
+    # One that speaks for others meets all, its own component too.
+    known = _speaking(known, speakers).select("sid", F.when(F.col("speaks"), F.col("sid")).otherwise(F.col("label")).alias("label"), F.when(F.col("speaks"), 1).otherwise(F.col("members")).alias("members"))
+    known = C.written(known, "labels")
+    meetings = C.written(token_groups(members.join(known, "sid"), _meetings, "label long, sid long").distinct(), "meetings")
+    found = C.written(_across(members, known.select("sid", "label"), meetings, speakers), "found")
+    more = C.written(_all_links(found, slim, speakers), "links")
     if more.limit(1).count():
         labels = components(edges.unionByName(more))
     # The smallest id of each class, then of each component, then back to the rows.
