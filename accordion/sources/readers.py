@@ -53,7 +53,8 @@ def flat_registry(raw: DataFrame) -> DataFrame:
 def _long(rows: DataFrame, key: str, pairs: list, *more: str) -> DataFrame:
     """(field, canonical value, value as given) columns to rows; those without a value go."""
     made = F.array(*[F.struct(F.lit(f).alias("field"), v.alias("value"), r.alias("raw_value")) for f, v, r in pairs])
-    return rows.select(key, *more, F.explode(F.filter(made, lambda x: x["value"].isNotNull())).alias("x")).select(key, "x.*", *more)
+    known = F.filter(made, lambda x: x["value"].isNotNull())
+    return rows.select(key, *more, F.posexplode(known).alias("_pos", "x")).select(key, "x.*", *more, "_pos")
 
 
 def registry_assertions(rows: DataFrame) -> DataFrame:
@@ -80,13 +81,13 @@ def _sourced(rows: DataFrame, name: str, label: str, source_class: str) -> DataF
 #: Column names under which claims files have each value (fixed values), the first known counts.
 CLAIMS = {
     "npi": ["NPI", "npi"],
-    "practice_name": ["Facility Name", "facility_name", "org_name"],
-    "address_1": ["adr_ln_1", "address_1"],
-    "city": ["City/Town", "citytown", "city"],
-    "state": ["State", "state", "st"],
-    "postal_code": ["ZIP Code", "zip_code", "zip"],
-    "phone": ["Telephone Number", "telephone_number", "phn_numbr"],
-    "last_updated": ["Last Updated", "last_updated"],
+    "practice_name": ["Facility Name", "facility_name", "org_nm"],
+    "address_1": ["adr_ln_1", "Address Line 1", "adr_ln1"],
+    "city": ["City/Town", "citytown", "City", "cty"],
+    "state": ["State", "st", "State/Province"],
+    "postal_code": ["ZIP Code", "zip_cd", "Zip Code"],
+    "phone": ["Telephone Number", "phn_numbr", "Phone Number"],
+    "last_updated": ["Last Updated", "last_updated", "data_as_of"],
 }
 
 
@@ -113,7 +114,11 @@ def web_assertions(pages: DataFrame) -> DataFrame:
     rows = rows.select("provider_id", "_s", "s.source_name", "s.source_label", "s.source_class", "s.url", F.explode(fields).alias("field", "raw"))
     inner = F.get_json_object("raw", "$.value")
     rows = rows.withColumn("raw_value", F.when(F.col("raw").startswith("{"), inner).otherwise(F.col("raw"))).drop("raw")
-    return rows.withColumn("value", normalize.of_field(F.col("field"), F.col("raw_value"))).withColumn("data_as_of", F.lit(None).cast("date"))
+    # Fields without a canonical form of their own on the web are compared as given.
+    plain = F.col("field").isin("phone", "address", "practice_name", "active", "website")
+    value = F.when(plain, normalize.of_field(F.col("field"), F.col("raw_value"))).otherwise(F.col("raw_value"))
+    rows = rows.withColumns({"value": value, "data_as_of": F.lit(None).cast("date"), "source_label": F.coalesce("source_label", "source_name"), "_pos": F.col("_s")})
+    return rows.where("value is not null").drop("_s")
 
 
 def specialties(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -151,3 +156,25 @@ def fresh_cache(cache: DataFrame, now, ttl_seconds: int) -> DataFrame:
     newest = Window.partitionBy("key").orderBy(F.desc("fetched_at"))
     fresh = F.col("fetched_at") > F.lit(now).cast("timestamp") - F.make_dt_interval(secs=F.lit(ttl_seconds))
     return cache.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_k").where(fresh)
+
+
+def web_files(spark: SparkSession, path: str) -> DataFrame:
+    """Extraction files of the schema WEB, whatever their fields hold."""
+    raw = spark.read.text(path, wholetext=True).withColumn("v", F.parse_json("value"))
+    sources = F.from_json(F.to_json(F.try_variant_get("v", "$.sources", "variant")), "array<struct<source_name:string, source_label:string, source_class:string, url:string, fields:string>>")
+    return raw.select(F.try_variant_get("v", "$.provider_id", "string").alias("provider_id"), sources.alias("sources"))
+
+
+def candidate_files(spark: SparkSession, path: str) -> DataFrame:
+    """Candidate sites of JSON files {provider_id, candidates: [{url, fields}]}; names and
+    identifiers may be one or a list."""
+    raw = spark.read.text(path, wholetext=True).withColumn("v", F.parse_json("value"))
+    each = F.from_json(F.to_json(F.try_variant_get("v", "$.candidates", "variant")), "array<struct<url:string, fields:map<string,string>>>")
+    rows = raw.select(F.try_variant_get("v", "$.provider_id", "string").alias("provider_id"), F.posexplode(each).alias("pos", "c"))
+    get = lambda k: F.try_element_at("c.fields", F.lit(k))
+
+    def listed(*keys: str):
+        c = F.coalesce(*map(get, keys))
+        return F.coalesce(F.when(c.startswith("["), F.from_json(c, "array<string>")), F.when(c.isNotNull(), F.array(c)), F.array().cast("array<string>"))
+
+    return rows.select("provider_id", F.coalesce("c.url", F.lit("")).alias("url"), "pos", get("practice_name").alias("practice_name"), listed("provider_names", "provider_name").alias("provider_names"), listed("npi", "npis").alias("npis"), get("phone").alias("phone"), get("address").alias("address"), get("page_text").alias("page_text"))

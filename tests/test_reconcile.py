@@ -229,7 +229,8 @@ def test_generator_is_fixed_by_its_seed(spark):
 
 def test_stream(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    stream = spark.readStream.schema(source.schema).parquet("/root/testdata/sf0.001/events.parquet")
+    source.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(source.schema).parquet(str(tmp_path / "in"))
     query = incremental.windowed_counts(stream).writeStream.outputMode("complete").format("memory").queryName("counts").start()
     query.processAllAvailable()
     query.stop()
