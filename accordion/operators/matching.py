@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordion.functions import normalize, similarity
 from accordion.functions.numbers import exact_round
+from accordion.plans.store import written
 
 THRESHOLD = 0.82
 CARRIED = ("provider_id", "npi", "name_g", "place_g", "phone")
@@ -60,35 +58,21 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component (the least node) of edges (a, b): label propagation with pointer
     jumping. Each round is written to ``spark.checkpoint.dir``, which cuts the lineage;
     a loop that does not settle fails loudly."""
-    spark = edges.sparkSession
-    both = _kept(spark, edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
-    labels = _kept(spark, both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("component")))
+    both = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
+    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("component")))
     for _ in range(rounds):
         near = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("near"))
         low = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("low"))
-        new = _kept(spark, low.join(labels.select(F.col("node").alias("low"), F.col("component").alias("next")), "low").select("node", "was", F.least("low", "next").alias("component")))
+        new = written(low.join(labels.select(F.col("node").alias("low"), F.col("component").alias("next")), "low").select("node", "was", F.least("low", "next").alias("component")))
         labels = new.select("node", "component")
         if not new.where("was <> component").limit(1).count():
             return labels
     raise RuntimeError("connected components did not settle")
 
 
-def _kept(spark, df: DataFrame) -> DataFrame:
-    """A written copy in the folder that all executors share (one is made only where none
-    is set, as in local tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="accordion-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/components-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def clusters(records: DataFrame, coordinates: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """cluster_id (least member), provider_ids, npi, match_score, reason."""
-    spark = records.sparkSession
-    accepted = _kept(spark, scored_pairs(candidate_pairs(block_keys(records)), coordinates).where(F.col("score") >= threshold))
+    accepted = written(scored_pairs(candidate_pairs(block_keys(records)), coordinates).where(F.col("score") >= threshold))
     labels = connected_components(accepted.select(F.col("provider_id_a").alias("a"), F.col("provider_id_b").alias("b")))
     members = labels.join(records.select(F.col("provider_id").alias("node"), normalize.none_if_empty(F.col("npi")).alias("npi")), "node")
     ids = members.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("provider_ids"), F.min_by("npi", F.when(F.col("npi").isNotNull(), F.col("node"))).alias("npi"))

@@ -11,6 +11,7 @@ from accordion.functions import normalize
 from accordion.functions.numbers import exact_round
 from accordion.operators import audit, decide, discovery, resolve, scoring
 from accordion.plans.policy import Policy
+from accordion.plans.store import written
 from accordion.sources import readers
 
 ASSERTED = ["provider_id", "field", "value", "raw_value", "source_name", "source_label", "source_class", "url", "data_as_of", "snapshot_hash", "_src_ord"]
@@ -82,13 +83,14 @@ def clues(records: DataFrame, inputs: Inputs) -> DataFrame:
 
 
 def reconcile(inputs: Inputs, policy: Policy, at=None) -> Result:
-    resolved = resolve.resolve(inputs.directory, inputs.registry)
+    # Each step's table is kept: later steps read it more than once.
+    resolved = written(resolve.resolve(inputs.directory, inputs.registry))
     records = inputs.directory.withColumnRenamed("npi", "given_npi").join(resolved.select("provider_id", "status", F.col("npi").alias("found"), "agreement", "note", "usable"), "provider_id")
     records = records.withColumn("npi", F.coalesce("found", "given_npi"))
     good = records.where("usable")
-    assertions = harvest(good, inputs)
-    assessments = scoring.assess(assertions, current_values(good, inputs.specialties), policy)
-    decided = decide.decide(assessments, policy, good)
+    assertions = written(harvest(good, inputs))
+    assessments = written(scoring.assess(assertions, current_values(good, inputs.specialties), policy))
+    decided = written(decide.decide(assessments, policy, good))
     notes = good.select("provider_id", F.when(F.col("status").isin("resolved_by_search", "bad_checkdigit"), F.concat("note", F.lit(" "))).alias("before"))
     decided = decided.join(notes, "provider_id").withColumn("reason", F.concat(F.coalesce("before", F.lit("")), F.col("reason"))).drop("before")
     held = records.where("not usable").select(
