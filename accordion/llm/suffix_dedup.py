@@ -8,7 +8,8 @@
    groups by two-stage sorting: only suffixes smaller than their successors are sorted
    directly (by k bytes), the rest are induced by scanning the buckets of first bytes.
    Neighbours in the suffix array with a common prefix of k bytes are the repeats; a
-   segment that occurs twice as a whole repeats in all its windows.
+   segment that occurs twice as a whole repeats in all its windows (a group of such
+   segments only needs no sorting).
 3. Minimisers of very many occurrences (``HOT``, at least 1 in 100,000 of all, so there
    are at most 100,000 of them) do not travel as segments: their windows meet by a
    128-bit hash, reduced in each task first. That is exact and deals any hot passage out.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-GRAM, BLOCK, HOT, PIECE = 32, 256 << 10, 4096, 2 << 20
+GRAM, BLOCK, HOT, PIECE = 32, 128 << 10, 4096, 2 << 20
 _PIECES = "body lens keys known occ owner at ids ths hash1 hash2"
 
 
@@ -70,7 +71,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     waiting[int(text[n - 1])].append(np.array([n - 1]))  # induced by the end of the text
     out = []
-    for c in range(256):
+    for c in np.unique(text).tolist():
         # The larger suffixes of this bucket: those induced so far, then, scan by scan,
         # those that the bucket itself induces.
         larger, fresh = list(waiting[c]), np.concatenate(waiting[c]) if waiting[c] else np.zeros(0, np.int64)
@@ -279,8 +280,12 @@ def _segment_verdict(table: pa.Table, k: int) -> pa.Table:
         twice = (np.bincount(which) > 1) | (np.bincount(which, weights=flag) > 0)
         group = np.zeros(len(distinct), np.uint64)
         group[which] = key
+        # A minimiser group whose segments all occur twice has nothing left to find out.
+        _, inverse = np.unique(group, return_inverse=True)
+        settled = (np.bincount(inverse, weights=~twice) == 0)[inverse]
+        hits: list = [np.ones(len(s) - k + 1, bool) if done else None for s, done in zip(distinct, settled.tolist(), strict=True)]
         order = np.argsort(group, kind="stable")
-        hits: list = [None] * len(distinct)
+        order = order[~settled[order]]
         for block in _blocks(order, group, distinct):
             for i, found in zip(block, repeated_windows([distinct[i] for i in block], twice[block], k), strict=True):
                 hits[i] = found
