@@ -20,8 +20,9 @@ sets link when 100 * intersection >= 75 * union. Sets are globally ordered by ha
    shared path, and a subtree is pruned when the overlap so far and the remaining lengths
    can't reach the bound. Links become connected components.
 4. Heads that share a prefix token and are still in different components meet likewise:
-   those of the smaller component go down the tries of the larger one's blocks. So no
-   link that joins components is lost, and no group of near copies becomes all its pairs.
+   those of the smaller cluster go down the tries of the larger one's blocks, and in a
+   cluster of many blocks those outside its main component go down all. So no link that
+   joins components is lost, and no group of near copies becomes all its pairs.
 
 Defined results: null or empty text has an empty set and is alone, as is its component;
 a null doc_id counts as the smallest long; repeated rows are copies. Two different sets
@@ -40,7 +41,7 @@ from . import common as C
 SHINGLE = 5
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_TOKENS = "token owner sids pids ns sizes labels members"
+_TOKENS = "token owner sids pids ns sizes labels clusters members"
 BLOCK, PIVOTS = 800, 8
 
 
@@ -173,7 +174,7 @@ def _members(candidates: DataFrame, buckets: int) -> DataFrame:
 def _token_rows(batches, buckets):
     for s in C.slices_of(batches, name="tokens"):
         tokens, lead = _lists(s, "tokens")
-        sid, pid, n, label, members = (C.longs_of(s, c) for c in ("sid", "pid", "n", "label", "members"))
+        sid, pid, n, label, cluster, members = (C.longs_of(s, c) for c in ("sid", "pid", "n", "label", "cluster", "members"))
         ns = np.diff(lead)
         take = np.maximum(0, np.minimum(ns, ns + (-3 * n) // 4 + 1))  # ns - ceil(.75 n) + 1
         owner = np.repeat(np.arange(len(ns)), take)
@@ -182,18 +183,18 @@ def _token_rows(batches, buckets):
         rows = []
         for b, (t, o) in C.split_buckets((C.mix(token) >> C.U64(40)).astype(np.int64) % buckets, [token, owner]):
             used, count = np.unique(o, return_counts=True)
-            rows.append((b, 0, t, count.astype(np.uint32), sid[used], pid[used], n[used], ns[used], label[used], members[used]))
+            rows.append((b, 0, t, count.astype(np.uint32), sid[used], pid[used], n[used], ns[used], label[used], cluster[used], members[used]))
         if rows:
             yield C.packed(rows, _TOKENS)
 
 
 def _groups(table: pa.Table):
     """Heads by prefix token: token groups of two heads and more, as arrays."""
-    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+    parts: list[list[np.ndarray]] = [[] for _ in range(8)]
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
         count = get("owner", np.uint32)
-        for p, x in zip(parts, (get("token", np.uint64), *(np.repeat(get(n, np.int64), count) for n in ("sids", "pids", "ns", "sizes", "labels", "members"))), strict=True):
+        for p, x in zip(parts, (get("token", np.uint64), *(np.repeat(get(n, np.int64), count) for n in ("sids", "pids", "ns", "sizes", "labels", "clusters", "members"))), strict=True):
             p.append(x)
     cols = [np.concatenate(p) for p in parts]
     # Of a profile the head and the smallest member that does not link with it: they have
@@ -216,7 +217,7 @@ def _groups(table: pa.Table):
 
 def _leaders(table: pa.Table) -> pa.Table:
     """Votes (p, q): q leads a token group of p, as the one with the fewest tokens of its own."""
-    token, sid, _, n, ns, _, _ = _groups(table)
+    token, sid, _, n, ns, _, _, _ = _groups(table)
     order = np.lexsort((sid, (n - ns) / np.maximum(1, n), token))
     token, sid = token[order], sid[order]
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
@@ -226,23 +227,30 @@ def _leaders(table: pa.Table) -> pa.Table:
 
 
 def _meetings(table: pa.Table) -> pa.Table:
-    """(label, sid): a head that shares a token with a larger component than its own."""
-    token, sid, _, _, _, label, members = _groups(table)
-    out = []
-    order = np.lexsort((label, -members, token))
-    token, sid, label = token[order], sid[order], label[order]
+    """(cluster, sid): a head that shares a token with a head of a larger cluster and of
+    another component."""
+    token, sid, _, _, _, label, cluster, members = _groups(table)
+    out, held = [], 0
+    order = np.lexsort((cluster, -members, token))
+    token, sid, label, cluster = token[order], sid[order], label[order], cluster[order]
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
-    for a, b in zip(begin, np.r_[begin[1:], len(token)], strict=True):
-        if label[a] == label[b - 1]:
+    for a, b in zip(begin.tolist(), np.r_[begin[1:], len(token)].tolist(), strict=True):
+        if cluster[a] == cluster[b - 1]:
             continue
-        first = np.flatnonzero(np.r_[True, label[a + 1 : b] != label[a : b - 1]])  # labels, the largest first
-        for k, at in enumerate(first[:-1]):
-            later = sid[a + first[k + 1] : b]
-            out.append(np.stack([np.full(len(later), label[a + at]), later], 1))
-        if sum(map(len, out)) > 1 << 20:
+        first = np.flatnonzero(np.r_[True, cluster[a + 1 : b] != cluster[a : b - 1]])  # clusters, the largest first
+        ends = np.r_[first[1:], b - a]
+        low, high = np.minimum.reduceat(label[a:b], first), np.maximum.reduceat(label[a:b], first)
+        for k, end in enumerate(ends[:-1].tolist()):
+            later = slice(a + end, b)
+            apart = sid[later] if low[k] != high[k] else sid[later][label[later] != low[k]]
+            if len(apart):
+                out.append(np.stack([np.full(len(apart), cluster[a + first[k]]), apart], 1))
+                held += len(apart)
+        if held > 1 << 21:
             out = [np.unique(np.concatenate(out), axis=0)]
+            held = len(out[0])
     pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pa.table({"label": pairs[:, 0].copy(), "sid": pairs[:, 1].copy()})
+    return pa.table({"cluster": pairs[:, 0].copy(), "sid": pairs[:, 1].copy()})
 
 
 class Trie:
@@ -367,18 +375,22 @@ def _all_links(links: DataFrame, slim: DataFrame, speakers: DataFrame) -> DataFr
     return links.select("u", "v").unionByName(more.select(F.col("sid").alias("u"), "v"))
 
 
-def _in_clusters(heads: DataFrame, clusters: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Links inside clusters (sid, cluster): blocks of about BLOCK sets with common pivots."""
-    size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    dealt = clusters.join(size, "cluster").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+def _placed(heads: DataFrame, clusters: DataFrame) -> DataFrame:
+    """sid, cluster, size, blocks and block of clusters (sid, cluster): blocks of about BLOCK."""
+    size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    rows = clusters.join(size, "cluster").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    return rows.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+
+
+def _in_clusters(heads: DataFrame, placed: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Links inside the blocks of clusters; the blocks of one cluster have common pivots."""
     # Pivots are the sets with the fewest tokens of their own, from a fixed share of sids.
     rank = F.struct(F.col("own"), F.col("sid"))
     small = heads.select("sid", ((F.col("n") - F.col("ns")) / F.col("n")).alias("own"))
-    pivots = dealt.where("blocks > 1").join(small, "sid").groupBy("cluster", F.pmod(F.xxhash64("sid"), F.lit(PIVOTS)).alias("part")).agg(F.min(rank).alias("r")).select("cluster", F.col("r.sid").alias("sid"), F.lit(True).alias("pivot"))
-    dealt = dealt.join(pivots, ["cluster", "sid"], "left")
+    pivots = placed.where("blocks > 1").join(small, "sid").groupBy("cluster", F.pmod(F.xxhash64("sid"), F.lit(PIVOTS)).alias("part")).agg(F.min(rank).alias("r")).select("cluster", F.col("r.sid").alias("sid"), F.lit(True).alias("pivot"))
+    rows = placed.where("size > 1").join(pivots, ["cluster", "sid"], "left")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    own = F.array(F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    rows = dealt.select("sid", "cluster", F.explode(F.when(F.col("pivot"), every).otherwise(own)).alias("block"))
+    rows = rows.select("sid", "cluster", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("block"))).alias("block"))
     rows = heads.join(_speaking(rows, speakers), "sid").select("cluster", "block", "sid", "n", "speaks", "tokens", F.lit(True).alias("asks"), F.lit(True).alias("stored"))
     return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
 
@@ -388,15 +400,14 @@ def _speaking(rows: DataFrame, speakers: DataFrame) -> DataFrame:
     return marked.withColumn("speaks", F.coalesce("speaks", F.lit(False)))
 
 
-def _across(heads: DataFrame, labels: DataFrame, meetings: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Links between heads and larger components (label, sid) that they share a token with."""
-    wanted = meetings.select("label").distinct()
-    of = labels.join(wanted, "label")
-    blocks = of.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    stored = of.join(blocks, "label").select("label", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"), "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
-    asking = meetings.join(blocks, "label").select("label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
-    rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asking), speakers), "sid")
-    return rows.groupBy("label", "block").applyInArrow(_block_links, "u long, v long, overlap long")
+def _across(heads: DataFrame, placed: DataFrame, asking: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Links between heads and clusters (cluster, sid) that they are to meet."""
+    wanted = asking.select("cluster").distinct()
+    stored = placed.join(wanted, "cluster").select("cluster", "block", "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
+    blocks = placed.select("cluster", "blocks").distinct()
+    asks = asking.join(blocks, "cluster").select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
+    rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asks), speakers), "sid")
+    return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -429,24 +440,29 @@ def link_components(docs: DataFrame) -> DataFrame:
     inside = slim.join(profiles, "pid").where("7 * ns >= 3 * (n + least) and sid <> head").select(F.col("sid").alias("u"), F.col("head").alias("v"))
 
     def token_groups(rows: DataFrame, reduce, schema: str) -> DataFrame:
-        packed = rows.select("sid", "pid", "n", "label", "members", "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
+        packed = rows.select("sid", "pid", "n", "label", "cluster", "members", "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
         return packed.groupBy("bucket").applyInArrow(reduce, schema)
 
-    votes = token_groups(members.withColumns({"label": F.col("sid"), "members": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
+    votes = token_groups(members.withColumns({"label": F.col("sid"), "cluster": F.col("sid"), "members": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
     best = votes.groupBy("p", "q").agg(F.sum("votes").alias("votes")).groupBy("p").agg(F.max(F.struct(F.when(F.col("p") != F.col("q"), F.col("votes")).otherwise(0).alias("votes"), "q")).alias("b")).select("p", F.col("b.q").alias("q"))
-    clusters = components(best.select(F.col("p").alias("u"), F.col("q").alias("v"))).select(F.col("node").alias("sid"), F.col("label").alias("cluster"))
+    joined = components(best.select(F.col("p").alias("u"), F.col("q").alias("v")))
+    clusters = slim.select("sid").join(joined, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("cluster"))
+    placed = C.written(_placed(members, clusters), "placed")
     apart = slim.join(profiles, "pid").where("7 * ns < 3 * (n + least)").groupBy("pid").agg(F.min(F.struct("n", "sid")).alias("r"), F.count(F.lit(1)).alias("c"), F.first("least").alias("least"))
     speakers = C.written(apart.where("c > 1").select(F.col("r.sid").alias("sid"), "pid", "least"), "speakers")
-    found = C.written(_in_clusters(members, clusters, speakers), "found")
+    found = C.written(_in_clusters(members, placed, speakers), "found")
     edges = C.written(inside.unionByName(_all_links(found, slim, speakers)), "links")
     labels = components(edges)
     known = slim.select("sid").join(labels, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("label"))
-    known = known.join(known.groupBy("label").agg(F.count(F.lit(1)).alias("members")), "label")
     # One that speaks for others meets all, its own component too.
-    known = _speaking(known, speakers).select("sid", F.when(F.col("speaks"), F.col("sid")).otherwise(F.col("label")).alias("label"), F.when(F.col("speaks"), 1).otherwise(F.col("members")).alias("members"))
-    known = C.written(known, "labels")
-    meetings = C.written(token_groups(members.join(known, "sid"), _meetings, "label long, sid long").distinct(), "meetings")
-    found = C.written(_across(members, known.select("sid", "label"), meetings, speakers), "found")
+    known = _speaking(known, speakers).select("sid", F.when(F.col("speaks"), F.col("sid")).otherwise(F.col("label")).alias("label"))
+    known = C.written(known.join(placed.select("sid", "cluster", F.col("size").alias("members"), "blocks"), "sid"), "labels")
+    meetings = token_groups(members.join(known.drop("blocks"), "sid"), _meetings, "cluster long, sid long")
+    many = known.where("blocks > 1")
+    main = many.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
+    outside = many.join(main, "cluster").where("label <> main").select("cluster", "sid")
+    asking = C.written(meetings.unionByName(outside).distinct(), "meetings")
+    found = C.written(_across(members, placed, asking, speakers), "found")
     more = C.written(_all_links(found, slim, speakers), "links")
     if more.limit(1).count():
         labels = components(edges.unionByName(more))
