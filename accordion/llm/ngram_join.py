@@ -126,8 +126,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """Classes that may link: _id (s1), _th (s2), n, tokens."""
-    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, C.buckets_for(docs, 16 << 20), form="counts")
-    counts = hits.groupBy(F.col("_id").alias("s1")).agg(F.sum("idx").alias("c"))
+    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, C.buckets_for(docs, 16 << 20), form="packed")
+    counts = hits.groupBy("target").applyInArrow(_summed, "s1 long, c long")
     reps = sets.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_th")).alias("r"), F.first("n").alias("n"))
     reps = reps.join(counts, "s1").where("16 * c >= n").select("r._id", "r._th")
 
@@ -142,6 +142,13 @@ def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     return near.mapInArrow(made, "_id long, _th long, n long, tokens binary")
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """How many hits each class has in all buckets."""
+    get = lambda n: np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column(n)])
+    ids, inverse = np.unique(get("ids"), return_inverse=True)
+    return pa.table({"s1": ids, "c": np.bincount(inverse, weights=get("counts")).astype(np.int64)})
+
+
 def _members(candidates: DataFrame, buckets: int) -> DataFrame:
     """sid, n, pid, ns, tokens (shared ones): candidates with enough shared tokens."""
     shared = C.anchor_exchange(candidates.select("_id", "_th", "tokens"), _all_tokens, True, buckets, name="tokens", form="packed")
