@@ -14,15 +14,17 @@ sets link when 100 * intersection >= 75 * union. Sets are globally ordered by ha
    themselves, and the smallest of them speaks for them: a set that it doesn't link with
    links with none, and with the overlap the rest is arithmetic again.
 3. Prefix-tree join: heads that share a prefix token are first gathered in clusters (each
-   with the leader that most of its prefix tokens name), cut into blocks of about
-   ``BLOCK`` sets that share some pivots. A block's sets are stored in a trie, its tokens
+   with the leader that most of its prefix tokens name); clusters of over ``BLOCK`` sets
+   are cut by size (a band spans 3 to 4, so links stay in a band or its neighbours), then
+   by hash, into blocks that share some pivots. A block's sets are stored in a trie, its tokens
    in a global order; each set goes down the trie once: overlaps are carried from the
    shared path, and a subtree is pruned when the overlap so far and the remaining lengths
    can't reach the bound. Links become connected components.
 4. Heads that share a prefix token and are still in different components meet likewise:
-   those of the smaller cluster go down the tries of the larger one's blocks, and in a
-   cluster of many blocks those outside its main component go down all. So no link that
-   joins components is lost, and no group of near copies becomes all its pairs.
+   one of the smaller cluster goes down the trie of each of the larger one's blocks that has
+   a head with the token and of a size that can link; in a cluster of many blocks those
+   outside its main component do so with its other blocks. So no link that joins
+   components is lost, and no group of near copies becomes all its pairs.
 
 Defined results: null or empty text has an empty set and is alone, as is its component;
 a null doc_id counts as the smallest long; repeated rows are copies. Two different sets
@@ -41,8 +43,9 @@ from . import common as C
 SHINGLE = 5
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_TOKENS = "token owner sids pids ns sizes labels clusters members"
-BLOCK, PIVOTS = 800, 8
+_TOKENS = "token owner sids pids ns sizes labels clusters members blocks mains"
+BLOCK, PIVOTS, BANDS = 800, 8, 128
+_WHERE = ["label", "cluster", "members", "block", "main"]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +184,7 @@ def _members(candidates: DataFrame, buckets: int) -> DataFrame:
 def _token_rows(batches, buckets):
     for s in C.slices_of(batches, name="tokens"):
         tokens, lead = _lists(s, "tokens")
-        sid, pid, n, label, cluster, members = (C.longs_of(s, c) for c in ("sid", "pid", "n", "label", "cluster", "members"))
+        sid, pid, n, *where = (C.longs_of(s, c) for c in ("sid", "pid", "n", *_WHERE))
         ns = np.diff(lead)
         take = np.maximum(0, np.minimum(ns, ns + (-3 * n) // 4 + 1))  # ns - ceil(.75 n) + 1
         owner = np.repeat(np.arange(len(ns)), take)
@@ -190,18 +193,18 @@ def _token_rows(batches, buckets):
         rows = []
         for b, (t, o) in C.split_buckets((C.mix(token) >> C.U64(40)).astype(np.int64) % buckets, [token, owner]):
             used, count = np.unique(o, return_counts=True)
-            rows.append((b, 0, t, count.astype(np.uint32), sid[used], pid[used], n[used], ns[used], label[used], cluster[used], members[used]))
+            rows.append((b, 0, t, count.astype(np.uint32), sid[used], pid[used], n[used], ns[used], *(x[used] for x in where)))
         if rows:
             yield C.packed(rows, _TOKENS)
 
 
 def _groups(table: pa.Table):
     """Heads by prefix token: token groups of two heads and more, as arrays."""
-    parts: list[list[np.ndarray]] = [[] for _ in range(8)]
+    parts: list[list[np.ndarray]] = [[] for _ in range(10)]
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
         count = get("owner", np.uint32)
-        for p, x in zip(parts, (get("token", np.uint64), *(np.repeat(get(n, np.int64), count) for n in ("sids", "pids", "ns", "sizes", "labels", "clusters", "members"))), strict=True):
+        for p, x in zip(parts, (get("token", np.uint64), *(np.repeat(get(n, np.int64), count) for n in ("sids", "pids", "ns", "sizes", "labels", "clusters", "members", "blocks", "mains"))), strict=True):
             p.append(x)
     cols = [np.concatenate(p) for p in parts]
     # Of a profile the head and the smallest member that does not link with it: they have
@@ -224,7 +227,7 @@ def _groups(table: pa.Table):
 
 def _leaders(table: pa.Table) -> pa.Table:
     """Votes (p, q): q leads a token group of p, as the one with the fewest tokens of its own."""
-    token, sid, _, n, ns, _, _, _ = _groups(table)
+    token, sid, _, n, ns, *_ = _groups(table)
     order = np.lexsort((sid, (n - ns) / np.maximum(1, n), token))
     token, sid = token[order], sid[order]
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
@@ -234,30 +237,43 @@ def _leaders(table: pa.Table) -> pa.Table:
 
 
 def _meetings(table: pa.Table) -> pa.Table:
-    """(cluster, sid): a head that shares a token with a head of a larger cluster and of
-    another component."""
-    token, sid, _, _, _, label, cluster, members = _groups(table)
-    out, held = [], 0
-    order = np.lexsort((cluster, -members, token))
-    token, sid, label, cluster = token[order], sid[order], label[order], cluster[order]
+    """(cluster, block, sid): a head that shares a token with a head of that block, of another
+    component and of a size that can link. Of two clusters the heads of the smaller one ask;
+    in one cluster those outside its main component do."""
+    token, sid, _, n, _, label, cluster, members, block, main = _groups(table)
+    out, held, most = [], 0, 1 << 21
+    order = np.lexsort((n, block, cluster, -members, token))
+    token, sid, n, label, cluster, block, main = (x[order] for x in (token, sid, n, label, cluster, block, main))
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
     for a, b in zip(begin.tolist(), np.r_[begin[1:], len(token)].tolist(), strict=True):
-        if cluster[a] == cluster[b - 1]:
+        if cluster[a] == cluster[b - 1] and block[a] == block[b - 1]:
             continue
-        first = np.flatnonzero(np.r_[True, cluster[a + 1 : b] != cluster[a : b - 1]])  # clusters, the largest first
+        new = cluster[a + 1 : b] != cluster[a : b - 1]
+        of = np.r_[0, np.cumsum(new)]  # clusters, the largest first
+        first = np.flatnonzero(np.r_[True, new | (block[a + 1 : b] != block[a : b - 1])])  # their blocks
         ends = np.r_[first[1:], b - a]
         low, high = np.minimum.reduceat(label[a:b], first), np.maximum.reduceat(label[a:b], first)
-        for k, end in enumerate(ends[:-1].tolist()):
-            later = slice(a + end, b)
-            apart = sid[later] if low[k] != high[k] else sid[later][label[later] != low[k]]
-            if len(apart):
-                out.append(np.stack([np.full(len(apart), cluster[a + first[k]]), apart], 1))
-                held += len(apart)
-        if held > 1 << 21:
+        begins = np.searchsorted(of, of[first])  # where the block's cluster begins
+        for k, (at, end) in enumerate(zip(first.tolist(), ends.tolist(), strict=True)):
+            ask = np.arange(begins[k], b - a)
+            ask = ask[(ask < at) | (ask >= end)]
+            x = a + ask
+            apart = (of[ask] != of[at]) | (main[x] == 0)
+            if low[k] == high[k]:
+                apart &= label[x] != low[k]
+            x = x[apart]
+            sizes = n[a + at : a + end]
+            near = np.searchsorted(sizes, -(-3 * n[x] // 4)) < np.searchsorted(sizes, 4 * n[x] // 3, "right")
+            x = x[near]
+            if len(x):
+                out.append(np.stack([np.full(len(x), cluster[a + at]), np.full(len(x), block[a + at]), sid[x]], 1))
+                held += len(x)
+        if held > most:
             out = [np.unique(np.concatenate(out), axis=0)]
             held = len(out[0])
-    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pa.table({"cluster": pairs[:, 0].copy(), "sid": pairs[:, 1].copy()})
+            most = max(most, 2 * held)
+    found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
+    return pa.table({name: found[:, i].copy() for i, name in enumerate(("cluster", "block", "sid"))})
 
 
 class Trie:
@@ -382,22 +398,28 @@ def _all_links(links: DataFrame, slim: DataFrame, speakers: DataFrame) -> DataFr
     return links.select("u", "v").unionByName(more.select(F.col("sid").alias("u"), "v"))
 
 
-def _placed(heads: DataFrame, clusters: DataFrame) -> DataFrame:
-    """sid, cluster, size, blocks and block of clusters (sid, cluster): blocks of about BLOCK."""
+def _placed(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """sid, cluster, size, band, parts and block of clusters (sid, cluster). Clusters of over
+    BLOCK sets are cut in bands of sizes 3 to 4 and these in parts of about BLOCK; others
+    are one block."""
     size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    rows = clusters.join(size, "cluster").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    return rows.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    rows = clusters.join(size, "cluster").join(members.select("sid", "n"), "sid")
+    rows = rows.withColumn("band", F.when(F.col("size") > BLOCK, F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)))).otherwise(0).cast("long")).drop("n")
+    parts = rows.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
+    rows = rows.join(parts, ["cluster", "band"])
+    return rows.withColumn("block", F.col("band") + BANDS * F.pmod(F.xxhash64("sid"), F.col("parts")))
 
 
 def _in_clusters(heads: DataFrame, placed: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Links inside the blocks of clusters; the blocks of one cluster have common pivots."""
-    # Pivots are the sets with the fewest tokens of their own, from a fixed share of sids.
+    """Links inside the blocks of clusters; neighbouring blocks have common pivots."""
+    # Pivots are the sets of a band with the fewest tokens of their own, from a fixed share of
+    # sids; they go to all blocks of their band and of the bands next to it.
     rank = F.struct(F.col("own"), F.col("sid"))
     small = heads.select("sid", ((F.col("n") - F.col("ns")) / F.col("n")).alias("own"))
-    pivots = placed.where("blocks > 1").join(small, "sid").groupBy("cluster", F.pmod(F.xxhash64("sid"), F.lit(PIVOTS)).alias("part")).agg(F.min(rank).alias("r")).select("cluster", F.col("r.sid").alias("sid"), F.lit(True).alias("pivot"))
-    rows = placed.where("size > 1").join(pivots, ["cluster", "sid"], "left")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = rows.select("sid", "cluster", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("block"))).alias("block"))
+    big = placed.where(F.col("size") > BLOCK)
+    pivots = big.join(small, "sid").groupBy("cluster", "band", F.pmod(F.xxhash64("sid"), F.lit(PIVOTS)).alias("part")).agg(F.min(rank).alias("r")).select("cluster", F.col("r.sid").alias("sid"), F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"))
+    blocks = big.select("cluster", "band", "block").distinct()
+    rows = placed.where("size > 1").select("sid", "cluster", "block").unionByName(pivots.join(blocks, ["cluster", "band"]).select("sid", "cluster", "block")).distinct()
     rows = heads.join(_speaking(rows, speakers), "sid").select("cluster", "block", "sid", "n", "speaks", "tokens", F.lit(True).alias("asks"), F.lit(True).alias("stored"))
     return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
 
@@ -408,11 +430,10 @@ def _speaking(rows: DataFrame, speakers: DataFrame) -> DataFrame:
 
 
 def _across(heads: DataFrame, placed: DataFrame, asking: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Links between heads and clusters (cluster, sid) that they are to meet."""
-    wanted = asking.select("cluster").distinct()
-    stored = placed.join(wanted, "cluster").select("cluster", "block", "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
-    blocks = placed.select("cluster", "blocks").distinct()
-    asks = asking.join(blocks, "cluster").select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
+    """Links between heads and the blocks (cluster, block, sid) that they are to meet."""
+    wanted = asking.select("cluster", "block").distinct()
+    stored = placed.join(wanted, ["cluster", "block"]).select("cluster", "block", "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
+    asks = asking.select("cluster", "block", "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
     rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asks), speakers), "sid")
     return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
 
@@ -447,10 +468,10 @@ def link_components(docs: DataFrame) -> DataFrame:
     inside = slim.join(profiles, "pid").where("7 * ns >= 3 * (n + least) and sid <> head").select(F.col("sid").alias("u"), F.col("head").alias("v"))
 
     def token_groups(rows: DataFrame, reduce, schema: str) -> DataFrame:
-        packed = rows.select("sid", "pid", "n", "label", "cluster", "members", "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
+        packed = rows.select("sid", "pid", "n", *_WHERE, "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
         return packed.groupBy("bucket").applyInArrow(reduce, schema)
 
-    votes = token_groups(members.withColumns({"label": F.col("sid"), "cluster": F.col("sid"), "members": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
+    votes = token_groups(members.withColumns({"label": F.col("sid"), "cluster": F.col("sid"), "members": F.lit(1).cast("long"), "block": F.lit(0).cast("long"), "main": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
     best = votes.groupBy("p", "q").agg(F.sum("votes").alias("votes")).groupBy("p").agg(F.max(F.struct(F.when(F.col("p") != F.col("q"), F.col("votes")).otherwise(0).alias("votes"), "q")).alias("b")).select("p", F.col("b.q").alias("q"))
     joined = components(best.select(F.col("p").alias("u"), F.col("q").alias("v")))
     clusters = slim.select("sid").join(joined, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("cluster"))
@@ -463,12 +484,11 @@ def link_components(docs: DataFrame) -> DataFrame:
     known = slim.select("sid").join(labels, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("label"))
     # One that speaks for others meets all, its own component too.
     known = _speaking(known, speakers).select("sid", F.when(F.col("speaks"), F.col("sid")).otherwise(F.col("label")).alias("label"))
-    known = C.written(known.join(placed.select("sid", "cluster", F.col("size").alias("members"), "blocks"), "sid"), "labels")
-    meetings = token_groups(members.join(known.drop("blocks"), "sid"), _meetings, "cluster long, sid long")
-    many = known.where("blocks > 1")
-    main = many.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
-    outside = many.join(main, "cluster").where("label <> main").select("cluster", "sid")
-    asking = C.written(meetings.unionByName(outside).distinct(), "meetings")
+    known = known.join(placed.select("sid", "cluster", "block", F.col("size").alias("members")), "sid")
+    main = known.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
+    known = C.written(known.join(main, "cluster").withColumn("main", (F.col("label") == F.col("main")).cast("long")), "labels")
+    meetings = token_groups(members.join(known, "sid"), _meetings, "cluster long, block long, sid long")
+    asking = C.written(meetings.distinct(), "meetings")
     found = C.written(_across(members, placed, asking, speakers), "found")
     more = C.written(_all_links(found, slim, speakers), "links")
     if more.limit(1).count():
