@@ -172,10 +172,12 @@ def test_ngram_join(docs, rows):
     assert kept.where("n_chars is not null and trim(translate(text, '\t\n', '')) <> ''").count() == len(groups)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_ngram_join_chains_at_the_threshold(spark, seed):
+@pytest.mark.parametrize(("seed", "block"), [(0, 800), (1, 800), (2, 800), (0, 4), (1, 2)])
+def test_ngram_join_chains_at_the_threshold(spark, seed, block, monkeypatch):
     """Chains of texts that each link with the next only, equal profiles of many sizes, and
-    a passage that unlike texts share."""
+    a passage that unlike texts share; in one block, and in many of few sets each."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "PIVOTS", min(block // 2, ngram_join.PIVOTS))
     rng = random.Random(seed)
     out, w = [], [rng.choice(WORDS) for _ in range(60)]
     for i in range(40):
