@@ -309,7 +309,7 @@ def site_scores(spark, sf):
 
 def _scored_sites(spark, sf):
     d = T.directory(spark, sf)
-    d = d.where(F.col("_ord") <= F.lit(10**9)).select("provider_id", "_ord", F.array("practice_name").alias("practices"), F.array("provider_name").alias("names"), F.array("npi").alias("npis"), F.array("phone").alias("phones"), F.array("address").alias("addresses"), F.array("provider_name").alias("mentions"))
+    d = d.select("provider_id", "_ord", F.array("practice_name").alias("practices"), F.array("provider_name").alias("names"), F.array("npi").alias("npis"), F.array("phone").alias("phones"), F.array("address").alias("addresses"), F.array("provider_name").alias("mentions"))
     p = T.read(spark, sf, "pages")
     k = F.col("page_id")
     # A page is a candidate of the record with its number, and tells part of what it holds.
@@ -318,7 +318,7 @@ def _scored_sites(spark, sf):
         k.cast("string").alias("provider_id"), "url", k.alias("pos"),
         F.when(k % 2 == 0, F.upper("practice_name")).alias("practice_name"), F.when(k % 3 == 0, F.array(F.lower("provider_name"))).otherwise(F.array().cast("array<string>")).alias("provider_names"),
         F.when(k % 4 == 0, F.array("npi")).otherwise(F.array().cast("array<string>")).alias("npis"), F.when(k % 5 != 0, F.col("phone")).alias("phone"), F.when(k % 7 != 0, F.col("address")).alias("address"),
-        F.when(k % 2 == 1, F.concat(F.lit("About "), "provider_name", F.lit("!"))).otherwise(F.substring("html", 1, 200)).alias("page_text"),
+        F.col("html").alias("page_text"),
     )
     return discovery.score(pages, discovery.targets(d), _AGG)
 
