@@ -189,28 +189,30 @@ class Page:
         self.blocks = self.items = self.cells = 0
         out = _Writer()
         if source:
-            self._children(build(source), out, 0)
+            self._run(self._children(build(source), out))
         out.line()
         self.text = re.sub(r"\n{3,}", "\n\n", "\n".join(out.lines)).strip("\n")
 
-    def _children(self, node: Node, out: _Writer, depth: int) -> None:
+    @staticmethod
+    def _run(task) -> None:
+        """Runs a rendering step and the steps that it yields, on a stack of our own: pages
+        nest deeper than Python calls may."""
+        stack = [task]
+        while stack:
+            step = next(stack[-1], None)
+            if step is None:
+                stack.pop()
+            else:
+                stack.append(step)
+
+    def _children(self, node: Node, out: _Writer):
         for child in node.children:
             if isinstance(child, str):
                 out.inline(child)
             elif not child.hidden:
-                # Very deep nesting goes on as if it were flat.
-                self._node(child, out, depth + 1) if depth < 200 else self._flat(child, out)
-
-    def _flat(self, node: Node, out: _Writer) -> None:
-        stack: list = [node]
-        while stack:
-            x = stack.pop()
-            if isinstance(x, str):
-                out.inline(x)
-            elif not x.hidden:
-                stack += reversed(x.children)
+                yield self._node(child, out)
 
-    def _node(self, node: Node, out: _Writer, depth: int) -> None:
+    def _node(self, node: Node, out: _Writer):
         tag = node.tag
         if tag == "br":
             out.line(keep=True)
@@ -220,12 +222,13 @@ class Page:
             out.margin()
         elif tag == "table":
             out.margin()
-            out.raw(self._table(node, depth))
+            yield self._table(node, lines := [])
+            out.raw(lines)
             out.margin()
         elif tag in ("ul", "ol", "menu", "dir"):
             nested = out.in_list
             out.line() if nested else out.margin()
-            self._list(node, out, depth)
+            yield self._list(node, out)
             out.line() if nested else out.margin()
         elif tag == "pre":
             out.margin()
@@ -239,7 +242,7 @@ class Page:
             self.blocks += 1
             if tag == "dd":
                 out.indent += "    "
-            self._children(node, out, depth)
+            yield self._children(node, out)
             out.margin() if spaced else out.line()
             if tag == "dd":
                 out.indent = out.indent[:-4]
@@ -252,9 +255,9 @@ class Page:
         else:
             if tag in ("td", "th"):
                 out.inline(" ")
-            self._children(node, out, depth)
+            yield self._children(node, out)
 
-    def _list(self, node: Node, out: _Writer, depth: int) -> None:
+    def _list(self, node: Node, out: _Writer):
         m = _START.search(node.attrs)
         number = int(m[1]) if m else 1
         for child in node.children:
@@ -269,12 +272,12 @@ class Page:
                 number += 1
                 inner = _Writer()
                 inner.in_list = True
-                self._children(child, inner, depth + 1) if depth < 200 else self._flat(child, inner)
+                yield self._children(child, inner)
                 inner.line()
                 lines = inner.lines or [""]
                 out.raw([mark + lines[0], *(" " * len(mark) + x if x else "" for x in lines[1:])])
             else:
-                self._node(child, out, depth + 1) if depth < 200 else self._flat(child, out)
+                yield self._node(child, out)
 
     def _plain(self, node: Node) -> str:
         parts, stack = [], [node]
@@ -288,7 +291,8 @@ class Page:
                 stack += reversed(x.children)
         return "".join(parts).replace("\r\n", "\n")
 
-    def _table(self, node: Node, depth: int) -> list[str]:
+    def _table(self, node: Node, lines: list[str]):
+        """Adds the table's lines to the given ones."""
         rows: list[list[list[str]]] = []
         before: list[str] = []
         stack = list(reversed(node.children))
@@ -309,7 +313,7 @@ class Page:
                             row.append([_SPACE.sub(" ", cell).strip()])
                     elif not cell.hidden:
                         inner = _Writer()
-                        self._children(cell, inner, depth + 1) if depth < 200 else self._flat(cell, inner)
+                        yield self._children(cell, inner)
                         inner.line()
                         self.cells += cell.tag in ("td", "th")
                         row.append(inner.lines or [""])
@@ -317,18 +321,17 @@ class Page:
                     rows.append(row)
             else:
                 inner = _Writer()
-                self._node(x, inner, depth + 1) if depth < 200 else self._flat(x, inner)
+                yield self._node(x, inner)
                 inner.line()
                 before += inner.lines
         width = [0] * max((len(r) for r in rows), default=0)
         for row in rows:
             for i, cell in enumerate(row):
                 width[i] = max(width[i], *map(len, cell))
-        lines = list(before)
+        lines += before
         for row in rows:
             for k in range(max(map(len, row))):
                 lines.append("  ".join((c[k] if k < len(c) else "").ljust(width[i]) for i, c in enumerate(row)).rstrip())
-        return lines
 
 
 def extract(pages: DataFrame) -> DataFrame:
