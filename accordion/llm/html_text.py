@@ -5,7 +5,10 @@ where the next begins; table parts and the body are implied) and raw-text elemen
 a tree; visibility rules leave out head, scripts, styles, templates, comments, hidden
 elements and those styled ``display: none`` or ``visibility: hidden``. Rendering puts
 blocks on lines of their own, a blank line around paragraphs and headings, marks list
-items by depth, keeps preformatted white space, and aligns the cells of each table.
+items by depth, keeps preformatted white space, and aligns the cells of each table. A
+select shows its chosen option (a list box all), math its text, svg the text drawn in it,
+xmp its body as it stands. Content for browsers that lack a feature (noscript, object,
+iframe, audio, video, canvas, noembed, noframes) and datalists are left out.
 
 Defined results: null or empty HTML gives empty text; unclosed tags, stray end tags and
 broken references are taken as text or closed at the end; repeated rows are alike.
@@ -25,7 +28,9 @@ from . import common as C
 # Element sets of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object svg math audio video canvas select".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas annotation annotation-xml".split())
+#: Parts of a drawing that show text, and those that only define something.
+DRAWN, DEFINED = frozenset("text foreignobject".split()), frozenset("defs desc metadata symbol clippath mask pattern marker".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html hr legend li main menu nav ol optgroup option p pre section summary table ul".split()
 )
@@ -36,6 +41,7 @@ CLOSES = {
     "dt": ("dt dd", "dl"),
     "dd": ("dt dd", "dl"),
     "option": ("option", "select datalist"),
+    "optgroup": ("option optgroup", "select datalist"),
     "tr": ("tr td th caption", "table"),
     "td": ("td th", "tr table"),
     "th": ("td th", "tr table"),
@@ -51,6 +57,9 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)", re.I)
 _STYLE = re.compile(r"style\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(\S+))", re.I)
 _GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?(-?\d+)", re.I)
+_SELECTED = re.compile(r"(?:^|\s)selected(?=\s|=|/|$)", re.I)
+_LISTED = re.compile(r"(?:^|\s)(?:multiple(?=\s|=|/|$)|size\s*=\s*[\"']?0*(?:[2-9]|1\d))", re.I)
+_LABEL = re.compile(r"(?:^|\s)label\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -103,7 +112,9 @@ def build(page: str) -> Node:
             body, at = (page[at : stop.start()], stop.end()) if stop else (page[at:], len(page))
             if tag in ("textarea", "title"):
                 node.children.append(html.unescape(body))
-        elif tag not in VOID:
+            elif tag == "xmp":
+                node.children.append(body)
+        elif tag not in VOID and not (attrs.endswith("/") and (tag in ("svg", "math") or any(x.tag in ("svg", "math") for x in open_))):
             open_.append(node)
 
 
@@ -230,7 +241,7 @@ class Page:
             out.line() if nested else out.margin()
             yield self._list(node, out)
             out.line() if nested else out.margin()
-        elif tag == "pre":
+        elif tag in ("pre", "xmp"):
             out.margin()
             text = self._plain(node)
             out.raw(text.strip("\n").split("\n") if text.strip() else [])
@@ -252,6 +263,20 @@ class Page:
                 out.inline(html.unescape(m[1] or m[2] or ""))
         elif tag == "input":
             return
+        elif tag == "select":
+            shown = self._options(node)
+            if _LISTED.search(node.attrs):
+                for text in shown:
+                    out.line()
+                    out.inline(text)
+                out.line()
+            elif shown:
+                out.inline(shown[0])
+        elif tag == "svg":
+            for part in self._drawn(node):
+                out.inline(" ")
+                yield self._children(part, out)
+                out.inline(" ")
         else:
             if tag in ("td", "th"):
                 out.inline(" ")
@@ -279,6 +304,41 @@ class Page:
             else:
                 yield self._node(child, out)
 
+    def _options(self, node: Node) -> list[str]:
+        """Labels that a select shows: all of a list box, else the chosen option (the last
+        one marked, or the first)."""
+        shown, chosen, stack = [], None, list(reversed(node.children))
+        while stack:
+            x = stack.pop()
+            if isinstance(x, str) or x.hidden:
+                continue
+            if x.tag != "option":
+                m = _LABEL.search(x.attrs) if x.tag == "optgroup" and _LISTED.search(node.attrs) else None
+                if m:
+                    shown.append(html.unescape(m[1] or m[2] or m[3] or ""))
+                stack += reversed(x.children)
+                continue
+            m = _LABEL.search(x.attrs)
+            shown.append(html.unescape(m[1] or m[2] or m[3] or "") if m else _SPACE.sub(" ", self._plain(x)).strip(" "))
+            if _SELECTED.search(re.sub(r"\"[^\"]*\"|'[^']*'", '""', x.attrs)):
+                chosen = shown[-1]
+            # An unclosed option holds what follows it.
+            stack += reversed([y for y in x.children if not isinstance(y, str) and y.tag in ("option", "optgroup")])
+        return shown if _LISTED.search(node.attrs) or chosen is None else [chosen]
+
+    def _drawn(self, node: Node) -> list[Node]:
+        """The text elements of a drawing, in order."""
+        found, stack = [], [node]
+        while stack:
+            x = stack.pop()
+            if isinstance(x, str) or x.hidden or x.tag in DEFINED:
+                continue
+            if x.tag in DRAWN:
+                found.append(x)
+            else:
+                stack += reversed(x.children)
+        return found
+
     def _plain(self, node: Node) -> str:
         parts, stack = [], [node]
         while stack:
