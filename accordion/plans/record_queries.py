@@ -133,7 +133,7 @@ def page_domains(spark, sf):
 
 def clean_texts(spark, sf):
     d = T.read(spark, sf, "documents")
-    return d.select("doc_id", N.clean_text("text").alias("cleaned"), N.slug(F.substring("text", 1, 60)).alias("slug"), N.snapshot_hash(F.col("text")).alias("hash"))
+    return d.select("doc_id", N.clean_text("text").alias("cleaned"), N.slug(F.col("text")).alias("slug"), N.snapshot_hash(F.col("text")).alias("hash"))
 
 
 def npi_checks(spark, sf):

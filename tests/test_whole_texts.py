@@ -33,3 +33,10 @@ def test_sites_read_the_whole_page(spark, tmp_path):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     rows = record_queries.site_scores(spark, str(tmp_path)).collect()
     assert {r["provider_id"]: "page_text_match" in r["evidence"].split(",") for r in rows} == {"1": False, "2": True, "4": False, str(2 * 10**9): True}
+
+
+def test_slugs_are_of_whole_texts(spark, tmp_path):
+    opening = "The same opening, " * 5
+    spark.createDataFrame([(1, opening + "One!"), (2, opening + "Two!"), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    slugs = {r["doc_id"]: r["slug"] for r in record_queries.clean_texts(spark, str(tmp_path)).collect()}
+    assert slugs == {1: "the_same_opening_" * 5 + "one", 2: "the_same_opening_" * 5 + "two", 3: ""}
