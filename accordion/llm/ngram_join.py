@@ -239,7 +239,8 @@ def _leaders(table: pa.Table) -> pa.Table:
 def _meetings(table: pa.Table) -> pa.Table:
     """(cluster, block, sid): a head that shares a token with a head of that block, of another
     component and of a size that can link. Of two clusters the heads of the smaller one ask;
-    in one cluster those outside its main component do."""
+    in one cluster those outside its main component do. One that speaks for others (main
+    -1) meets the blocks of its own component too."""
     token, sid, _, n, _, label, cluster, members, block, main = _groups(table)
     out, held, most = [], 0, 1 << 21
     order = np.lexsort((n, block, cluster, -members, token))
@@ -253,14 +254,15 @@ def _meetings(table: pa.Table) -> pa.Table:
         first = np.flatnonzero(np.r_[True, new | (block[a + 1 : b] != block[a : b - 1])])  # their blocks
         ends = np.r_[first[1:], b - a]
         low, high = np.minimum.reduceat(label[a:b], first), np.maximum.reduceat(label[a:b], first)
+        spoken = np.minimum.reduceat(main[a:b], first) < 0
         begins = np.searchsorted(of, of[first])  # where the block's cluster begins
         for k, (at, end) in enumerate(zip(first.tolist(), ends.tolist(), strict=True)):
             ask = np.arange(begins[k], b - a)
             ask = ask[(ask < at) | (ask >= end)]
             x = a + ask
-            apart = (of[ask] != of[at]) | (main[x] == 0)
-            if low[k] == high[k]:
-                apart &= label[x] != low[k]
+            apart = (of[ask] != of[at]) | (main[x] != 1)
+            if low[k] == high[k] and not spoken[k]:
+                apart &= (label[x] != low[k]) | (main[x] < 0)
             x = x[apart]
             sizes = n[a + at : a + end]
             near = np.searchsorted(sizes, -(-3 * n[x] // 4)) < np.searchsorted(sizes, 4 * n[x] // 3, "right")
@@ -455,6 +457,15 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _marked(known: DataFrame, placed: DataFrame, speakers: DataFrame) -> DataFrame:
+    """sid, label, cluster, block, members and main of heads (sid, label): 1 in the main
+    component of its cluster, 0 outside, -1 for one that speaks for others."""
+    known = known.join(placed.select("sid", "cluster", "block", F.col("size").alias("members")), "sid")
+    main = known.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
+    marked = _speaking(known.join(main, "cluster"), speakers)
+    return marked.withColumn("main", F.when(F.col("speaks"), -1).otherwise((F.col("label") == F.col("main")).cast("int")).cast("long")).drop("speaks")
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """One row per row of docs: _id, _th, n, component (the smallest _id reached)."""
     sets = C.written(document_sets(docs), "sets")
@@ -482,11 +493,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     edges = C.written(inside.unionByName(_all_links(found, slim, speakers)), "links")
     labels = components(edges)
     known = slim.select("sid").join(labels, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("label"))
-    # One that speaks for others meets all, its own component too.
-    known = _speaking(known, speakers).select("sid", F.when(F.col("speaks"), F.col("sid")).otherwise(F.col("label")).alias("label"))
-    known = known.join(placed.select("sid", "cluster", "block", F.col("size").alias("members")), "sid")
-    main = known.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
-    known = C.written(known.join(main, "cluster").withColumn("main", (F.col("label") == F.col("main")).cast("long")), "labels")
+    known = C.written(_marked(known, placed, speakers), "labels")
     meetings = token_groups(members.join(known, "sid"), _meetings, "cluster long, block long, sid long")
     asking = C.written(meetings.distinct(), "meetings")
     found = C.written(_across(members, placed, asking, speakers), "found")
