@@ -7,12 +7,17 @@ forward and a backward gated recurrent unit read windows of 48 tokens that start
 text scores as its highest window. All windows of whole texts are scored.
 
 Training (numpy, back-propagation through time, Adam) is on a bounded sample: at most
-``PER_CLASS`` labelled texts of either class, each of at most ``LONGEST`` characters,
-chosen by a hash of the id among rows whose crc32(doc_id) mod 5 is not 0. Inputs are
-the text only. A text's label trains its highest window (and one other of a clean text).
-
-Defined results: a text without a token scores sigmoid(EMPTY). Repeated rows score alike.
-Without labels of both classes all texts score sigmoid(EMPTY).
+``PER_CLASS`` labelled texts of either class, chosen by a hash of the id among rows whose
+crc32(doc_id) mod 5 is not 0; together at most ``SAMPLE_CHARS`` characters a class. Of a
+longer clean text a piece of ``PIECE`` characters at a hashed place trains, as any piece
+of it is clean; a toxic one trains whole up to ``LONGEST`` characters, as its label may
+hold anywhere. Inputs are the text only. A text's label trains its highest window (and
+one other of a clean text). One executor task trains; the arrays (about 1.3 MB whatever
+the input) come back as rows and reach the scoring tasks as a broadcast variable.
+
+Defined results: a null or empty text and one without a token score sigmoid(EMPTY).
+Repeated rows score alike. Without labels of both classes all texts score sigmoid(EMPTY).
+Rows may have any other columns, of any name; they are passed through untouched.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +33,8 @@ from . import common as C
 
 WINDOW, STRIDE, HIDDEN, DIM, ATTEND = 48, 40, 8, 8, 8
 WORDS, GRAMS = 1 << 15, 1 << 13
-PER_CLASS, LONGEST, EPOCHS, EMPTY = 1200, 12_000, 9, -4.0
+PER_CLASS, EPOCHS, EMPTY = 1200, 9, -4.0
+PIECE, LONGEST, SAMPLE_CHARS = 12_000, 200_000, 8_000_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -275,38 +281,64 @@ def held_out(column) -> F.Column:
     return F.crc32(column.cast("long").cast("string")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """Trains on the bounded sample."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text")
-    texts, marks = [], []
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bounded sample: mark, ord, text."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("mark"))
+    text = F.col("text").cast("string")
+    spot = F.lit(1) + F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.length("text") - PIECE + 1)).cast("int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(text, F.lit("")).alias("text"))
+    parts = []
     for mark in (1, 0):
-        # Twice as many ids as wanted, for some texts are too long; both bounds are fixed.
-        ids = known.where(F.col("toxic") == mark).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * PER_CLASS)
-        found = rows.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(PER_CLASS).select("text").collect()
-        texts += [r[0] for r in found]
-        marks += [mark] * len(found)
-    return train(texts, marks)
+        # Twice as many ids as wanted, for some have no row or too long a text; both bounds are fixed.
+        ids = known.where(F.col("mark") == mark).distinct().orderBy(F.xxhash64("_id"), "_id").limit(2 * PER_CLASS)
+        found = rows.join(F.broadcast(ids), "_id")
+        found = found.where(F.length("text") <= LONGEST) if mark else found.withColumn("text", F.substring("text", spot, F.lit(PIECE)))
+        found = found.withColumn("ord", F.xxhash64("_id")).orderBy("ord", "_id", "text").limit(PER_CLASS)
+        so_far = Window.partitionBy("mark").orderBy("ord", "_id", "text").rowsBetween(Window.unboundedPreceding, 0)  # at most PER_CLASS rows
+        parts.append(found.withColumn("chars", F.sum(F.length("text")).over(so_far)).where(F.col("chars") <= SAMPLE_CHARS).select("mark", "ord", "text"))
+    return parts[0].unionByName(parts[1])
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
+    """Trains on the bounded sample, in one task of an executor."""
+
+    def trained(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("mark").to_pylist(), table.column("ord").to_pylist(), table.column("text").to_pylist(), strict=True), key=lambda r: (-r[0], r[1], r[2]))
+        model = train([r[2] for r in rows], [r[0] for r in rows]) or {}
+        return pa.table({"name": pa.array(list(model), pa.string()), "shape": pa.array([list(a.shape) for a in model.values()], pa.list_(pa.int32())), "data": pa.array([a.tobytes() for a in model.values()], pa.binary())})
+
+    rows = sample(docs, labels).groupBy(F.lit(0).alias("one")).applyInArrow(trained, "name string, shape array<int>, data binary").collect()
+    return {r["name"]: np.frombuffer(r["data"], np.float32).reshape(r["shape"]).copy() for r in rows} or None
 
 
 def score_documents(docs: DataFrame, model: dict | None, name: str = "score", keep: bool = False) -> DataFrame:
-    """The rows of docs with a score; without the text unless ``keep``."""
-    rows = docs.withColumn("text", F.col("text").cast("string"))
-    names = [n for n in docs.columns if n != "text" or keep]
+    """The rows of docs with a score (a column ``name`` that docs must not have); without
+    the text unless ``keep``. Columns stand in the order of docs."""
+    text_at = docs.columns.index("text")
+    kept = [i for i, n in enumerate(docs.columns) if keep or n != "text"]
+    # Plain names inside, for columns may be called anything.
+    rows = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    rows = rows.withColumn(f"_c{text_at}", F.col(f"_c{text_at}").cast("string"))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        for s in C.slices_of(batches, 2 << 20):
-            text = pc.utf8_lower(s.column(s.schema.get_field_index("text")).cast(pa.large_string()))
+        own = sent.value
+        for s in C.slices_of(batches, 2 << 20, f"_c{text_at}"):
+            text = pc.utf8_lower(s.column(text_at).cast(pa.large_string()))
             data, offsets = C.texts_of(pa.RecordBatch.from_arrays([text], names=["text"]))
-            yield pa.RecordBatch.from_arrays([*(s.column(s.schema.get_field_index(n)) for n in names), pa.array(scores(model, data, offsets))], names=[*names, name])
+            yield pa.RecordBatch.from_arrays([*(s.column(i) for i in kept), pa.array(scores(own, data, offsets))], names=[*(f"_c{i}" for i in kept), "_s"])
 
-    return rows.mapInArrow(scored, T.StructType([*(rows.schema[n] for n in names), T.StructField(name, T.DoubleType())]))
+    out = rows.mapInArrow(scored, T.StructType([*(rows.schema[i] for i in kept), T.StructField("_s", T.DoubleType())]))
+    return out.toDF(*[docs.columns[i] for i in kept], name)
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not predicted toxic."""
-    scored = score_documents(docs, fit(docs, labels), "_score", keep=True)
-    return scored.where("_score < 0.5").select(*docs.columns)
+    """The rows of docs that are not predicted toxic, with the columns of docs."""
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    scored = score_documents(docs, fit(docs, labels), name, keep=True)
+    return scored.where(F.col(name) < 0.5).drop(name)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
