@@ -8,6 +8,8 @@ that share an id have a defined result.
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
 import zipfile
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NO_ID = -(2**63)
+#: Buckets of a packed exchange up to which their size stays the same.
+WIDE = 1 << 17
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -169,19 +173,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def buckets_for(df: DataFrame, each: int = 8 << 20) -> int:
-    """Buckets of a packed exchange: a number in proportion to the table's stored size."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a session without a JVM handle (remote client)
-        size = 0
-    return int(max(shuffle_partitions(df.sparkSession), min(1 << 17, -(-size // each))))
+def buckets_for(df: DataFrame, column: str = "text", each: int = 16 << 20) -> int:
+    """Buckets of a packed exchange, from the counted bytes of a column: one for each
+    ``each`` bytes up to ``WIDE`` buckets; beyond, buckets and their sizes grow alike, so
+    that the pieces a batch sends to a bucket don't become single entries."""
+    total = df.agg(F.sum(F.octet_length(F.col(column).cast("binary")))).first()[0] or 0
+    n = -(-total // each)
+    return max(shuffle_partitions(df.sparkSession), n if n <= WIDE else math.isqrt(n * WIDE))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; only where none is set (tests) one is made."""
+    """The folder all executors share, from spark.checkpoint.dir. Where none is set one is
+    made, but only if the executors are threads of this process (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="accordion-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -192,7 +199,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by ``written`` that nothing will read again."""
+    for df in tables:
+        session = df.sparkSession
+        at = session._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        at.getFileSystem(session._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def keyed(docs: DataFrame, *more) -> DataFrame:

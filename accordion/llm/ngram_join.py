@@ -28,14 +28,15 @@ sets link when 100 * intersection >= 75 * union. Sets are globally ordered by ha
 
 Defined results: null or empty text has an empty set and is alone, as is its component;
 a null doc_id counts as the smallest long; repeated rows are copies. Two different sets
-are taken as one class only if 128 bits of hash agree; linking names a class by 64.
+are taken as one class, and two shared parts as one profile, only if 128 bits of hash
+agree; classes are then named by numbers that no two share.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -44,7 +45,7 @@ SHINGLE = 5
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _TOKENS = "token owner sids pids ns sizes labels clusters members blocks mains"
-BLOCK, PIVOTS, BANDS = 800, 8, 128
+BLOCK, PIVOTS, BANDS, ASKERS = 800, 8, 128, 3200
 _WHERE = ["label", "cluster", "members", "block", "main"]
 
 
@@ -94,7 +95,8 @@ def _first_tokens(s: pa.RecordBatch):
 def _all_tokens(s: pa.RecordBatch):
     tokens, lead = _lists(s, "tokens")
     owner = np.repeat(np.arange(s.num_rows), np.diff(lead))
-    return tokens, owner, np.arange(len(owner)) - lead[:-1][owner], C.longs_of(s, "_id"), C.longs_of(s, "_th")
+    sid = C.longs_of(s, "sid")
+    return tokens, owner, np.arange(len(owner)) - lead[:-1][owner], sid, np.zeros(len(sid), np.int64)
 
 
 def _lists(s: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +130,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Classes that may link: _id (s1), _th (s2), n, tokens."""
-    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, C.buckets_for(docs, 16 << 20), form="packed")
+    """Classes that may link: s1, s2, n, tokens, and sid, a number that no other class has."""
+    hits = C.anchor_exchange(C.keyed(docs), _first_tokens, True, C.buckets_for(docs, each=32 << 20), form="packed")
     counts = hits.groupBy("target").applyInArrow(_summed, "s1 long, c long")
     reps = sets.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("_id", "_th")).alias("r"), F.first("n").alias("n"))
     reps = reps.join(counts, "s1").where("16 * c >= n").select("r._id", "r._th")
@@ -137,12 +139,12 @@ def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     def made(batches):
         for s in C.slices_of(batches):
             tokens, lead = shingle_sets(*C.texts_of(s))
-            yield _batch("_id _th n tokens", *_set_hash(tokens, lead), np.diff(lead), _binary(tokens, lead))
+            yield _batch("s1 s2 n tokens", *_set_hash(tokens, lead), np.diff(lead), _binary(tokens, lead))
 
     near = C.keyed(docs).join(reps.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text")
     if sets.groupBy("_id", "_th").count().where("count > 1").limit(1).count():  # repeated rows
         near = near.dropDuplicates(["_id", "_th"])
-    return near.mapInArrow(made, "_id long, _th long, n long, tokens binary")
+    return near.mapInArrow(made, "s1 long, s2 long, n long, tokens binary").withColumn("sid", F.monotonically_increasing_id())
 
 
 def _summed(table: pa.Table) -> pa.Table:
@@ -153,8 +155,9 @@ def _summed(table: pa.Table) -> pa.Table:
 
 
 def _members(candidates: DataFrame, buckets: int) -> DataFrame:
-    """sid, n, pid, ns, tokens (shared ones): candidates with enough shared tokens."""
-    shared = C.anchor_exchange(candidates.select("_id", "_th", "tokens"), _all_tokens, True, buckets, name="tokens", form="packed")
+    """sid, n, pid and pid2 (128 bits of hash of the shared tokens), ns, tokens (shared
+    ones): candidates with enough shared tokens."""
+    shared = C.anchor_exchange(candidates.select("sid", "tokens"), _all_tokens, True, buckets, name="tokens", form="packed")
 
     def made(left: pa.Table, right: pa.Table) -> pa.Table:
         get = lambda n, t: np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(n)] or [np.zeros(0, t)])
@@ -162,7 +165,7 @@ def _members(candidates: DataFrame, buckets: int) -> DataFrame:
         out = []
         for s in left.combine_chunks().to_batches():
             tokens, lead = _lists(s, "tokens")
-            own = C.longs_of(s, "_id")
+            own = C.longs_of(s, "sid")
             order = np.argsort(own, kind="stable")
             row = order[np.minimum(np.searchsorted(own[order], ids), len(own) - 1)]
             row, known = np.repeat(row, count), np.repeat(own[row] == ids, count)
@@ -172,21 +175,34 @@ def _members(candidates: DataFrame, buckets: int) -> DataFrame:
             keep = 4 * ns >= 3 * n
             mark &= np.repeat(keep, n)
             shared_tokens, begin = tokens[mark], np.r_[0, np.cumsum(np.where(keep, ns, 0))]
-            pid = _set_hash(shared_tokens, begin)[0]
-            out.append(_batch("sid n pid ns tokens", own, n, pid, ns, _binary(shared_tokens, begin)).filter(pa.array(keep)))
-        kinds = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("pid", pa.int64()), ("ns", pa.int64()), ("tokens", pa.binary())])
+            out.append(_batch("sid n pid pid2 ns tokens", own, n, *_set_hash(shared_tokens, begin), ns, _binary(shared_tokens, begin)).filter(pa.array(keep)))
+        kinds = pa.schema([*((c, pa.int64()) for c in ("sid", "n", "pid", "pid2", "ns")), ("tokens", pa.binary())])
         return pa.Table.from_batches(out, kinds) if out else kinds.empty_table()
 
-    dealt = candidates.select(F.pmod("_id", F.lit(buckets)).alias("target"), "_id", "tokens")
-    return dealt.groupBy("target").cogroup(shared.groupBy("target")).applyInArrow(made, "sid long, n long, pid long, ns long, tokens binary")
+    dealt = candidates.select(F.pmod("sid", F.lit(buckets)).alias("target"), "sid", "tokens")
+    return dealt.groupBy("target").cogroup(shared.groupBy("target")).applyInArrow(made, "sid long, n long, pid long, pid2 long, ns long, tokens binary")
+
+
+def _prefixes(members: DataFrame) -> DataFrame:
+    """The members with their prefix tokens only: of two that link, one's is among the other's."""
+
+    def made(batches):
+        for s in C.slices_of(batches, name="tokens"):
+            tokens, lead = _lists(s, "tokens")
+            n, ns = C.longs_of(s, "n"), np.diff(lead)
+            take = np.maximum(0, np.minimum(ns, ns + (-3 * n) // 4 + 1))  # ns - ceil(.75 n) + 1
+            begin = np.r_[0, np.cumsum(take)]
+            at = np.arange(begin[-1]) - np.repeat(begin[:-1], take) + np.repeat(lead[:-1], take)
+            yield _batch("sid pid n ns tokens", C.longs_of(s, "sid"), C.longs_of(s, "pid"), n, ns, _binary(tokens[at], begin))
+
+    return members.select("sid", "pid", "n", "tokens").mapInArrow(made, "sid long, pid long, n long, ns long, tokens binary")
 
 
 def _token_rows(batches, buckets):
     for s in C.slices_of(batches, name="tokens"):
         tokens, lead = _lists(s, "tokens")
-        sid, pid, n, *where = (C.longs_of(s, c) for c in ("sid", "pid", "n", *_WHERE))
-        ns = np.diff(lead)
-        take = np.maximum(0, np.minimum(ns, ns + (-3 * n) // 4 + 1))  # ns - ceil(.75 n) + 1
+        sid, pid, n, ns, *where = (C.longs_of(s, c) for c in ("sid", "pid", "n", "ns", *_WHERE))
+        take = np.diff(lead)
         owner = np.repeat(np.arange(len(ns)), take)
         at = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(take)[:-1]], take) + lead[:-1][owner]
         token = tokens[at]
@@ -341,26 +357,34 @@ class Trie:
         for nodes in self.levels[:0:-1]:
             np.maximum.at(self.deepest, self.parent[nodes], self.deepest[nodes])
             np.minimum.at(self.least, self.parent[nodes], self.least[nodes])
+        self.member = np.zeros(len(self.known) + 1, np.int8)
         self.last = np.where(self.end > self.begin, self.run[np.maximum(self.end - 1, 0)] if used else 0, -1)
 
     def links(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sets that link with a set of these tokens and size, and the overlaps."""
+        """The sets that link with a set of these tokens and size, and the overlaps. Only
+        the runs of paths that can still reach their bound are looked at."""
         at = np.minimum(np.searchsorted(self.known, tokens), max(0, len(self.known) - 1))
         mine = np.sort(self.rank[at[self.known[at] == tokens]]) if len(self.known) else np.zeros(0, np.int64)
-        member = np.zeros(len(self.known) + 1, np.int64)
-        member[mine] = 1
-        total = np.r_[0, np.cumsum(member[self.run])]
-        gain = total[self.end] - total[self.begin]
-        need = -(-3 * (n + self.least) // 7)
-        left = len(mine) - np.searchsorted(mine, self.last, "right")
+        self.member[mine] = 1
         overlap, alive = np.zeros(len(self.parent), np.int64), np.zeros(len(self.parent), bool)
         alive[0] = True
         for nodes in self.levels[1:]:
             nodes = nodes[alive[self.parent[nodes]]]
+            up = self.parent[nodes]
+            need = -(-3 * (n + self.least[nodes]) // 7)
+            # What the rest of the path and the rest of the set's tokens can give at most.
+            rest = np.minimum(self.deepest[nodes] - self.depth[up], len(mine) - np.searchsorted(mine, self.last[up], "right"))
+            able = overlap[up] + rest >= need
+            nodes, up, need = nodes[able], up[able], need[able]
             if not len(nodes):
                 break
-            overlap[nodes] = overlap[self.parent[nodes]] + gain[nodes]
-            alive[nodes] = overlap[nodes] + np.minimum(self.deepest[nodes] - self.depth[nodes], left[nodes]) >= need[nodes]
+            length = self.end[nodes] - self.begin[nodes]
+            lead = np.r_[0, np.cumsum(length)]
+            spots = np.arange(lead[-1]) + np.repeat(self.begin[nodes] - lead[:-1], length)
+            overlap[nodes] = overlap[up] + C.sums_by(self.member[self.run[spots]], lead)
+            rest = np.minimum(self.deepest[nodes] - self.depth[nodes], len(mine) - np.searchsorted(mine, self.last[nodes], "right"))
+            alive[nodes] = overlap[nodes] + rest >= need
+        self.member[mine] = 0
         hit = np.flatnonzero(alive[self.leaf] & (7 * overlap[self.leaf] >= 3 * (n + self.sizes)))
         return hit, overlap[self.leaf[hit]]
 
@@ -394,9 +418,9 @@ def _block_links(table: pa.Table) -> pa.Table:
 def _all_links(links: DataFrame, slim: DataFrame, speakers: DataFrame) -> DataFrame:
     """The links found, and those of the members that a speaker speaks for."""
     both = links.select("u", "v", "overlap").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "overlap"))
-    spoken = both.join(speakers.select(F.col("sid").alias("u"), "pid", "least"), "u").join(slim.select(F.col("sid").alias("v"), F.col("n").alias("size")), "v")
-    members = slim.select("pid", "sid", "n", "ns")
-    more = spoken.join(members, "pid").where("7 * ns < 3 * (n + least) and 7 * overlap >= 3 * (n + size)")
+    spoken = both.join(speakers.select(F.col("sid").alias("u"), "pid", "pid2", "least"), "u").join(slim.select(F.col("sid").alias("v"), F.col("n").alias("size")), "v")
+    members = slim.select("pid", "pid2", "sid", "n", "ns")
+    more = spoken.join(members, ["pid", "pid2"]).where("7 * ns < 3 * (n + least) and 7 * overlap >= 3 * (n + size)")
     return links.select("u", "v").unionByName(more.select(F.col("sid").alias("u"), "v"))
 
 
@@ -432,27 +456,31 @@ def _speaking(rows: DataFrame, speakers: DataFrame) -> DataFrame:
 
 
 def _across(heads: DataFrame, placed: DataFrame, asking: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Links between heads and the blocks (cluster, block, sid) that they are to meet."""
-    wanted = asking.select("cluster", "block").distinct()
-    stored = placed.join(wanted, ["cluster", "block"]).select("cluster", "block", "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
-    asks = asking.select("cluster", "block", "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
+    """Links between heads and the blocks (cluster, block, sid) that they are to meet. The
+    askers of a block are dealt over parts of about ``ASKERS``, each with the block's sets."""
+    wanted = asking.groupBy("cluster", "block").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("long").alias("turns"))
+    stored = placed.join(wanted, ["cluster", "block"]).select("cluster", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("part"), "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
+    asks = asking.join(wanted, ["cluster", "block"]).select("cluster", "block", F.pmod(F.xxhash64("sid"), F.col("turns")).alias("part"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
     rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asks), speakers), "sid")
-    return rows.groupBy("cluster", "block").applyInArrow(_block_links, "u long, v long, overlap long")
+    return rows.groupBy("cluster", "block", "part").applyInArrow(_block_links, "u long, v long, overlap long")
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """Connected components of edges (u, v): node, label (the least node). Label
-    propagation with pointer jumping; each round is a written table."""
+    propagation with pointer jumping; each round is a written table that replaces the last."""
     both = C.written(edges.where("u <> v").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     labels = C.written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("label")), "labels")
     for _ in range(rounds):
         near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
         low = labels.join(near, "node", "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("near", "label")).alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("next"))
-        new = C.written(low.join(jump, "low", "left").select("node", "was", F.least("low", F.coalesce("next", "low")).alias("label")), "labels")
-        changed = new.where("was <> label").limit(1).count()
-        labels = new.select("node", "label")
-        if not changed:
+        new = low.join(jump, "low", "left").select("node", F.least("low", F.coalesce("next", "low")).alias("label"), "was")
+        seen = Observation()
+        new = C.written(new.observe(seen, F.count(F.when(F.col("was") != F.col("label"), 1)).alias("changed")).select("node", "label"), "labels")
+        C.discard(labels)
+        labels = new
+        if not seen.get["changed"]:
+            C.discard(both)
             return labels
     raise RuntimeError("components did not settle")
 
@@ -470,39 +498,45 @@ def link_components(docs: DataFrame) -> DataFrame:
     """One row per row of docs: _id, _th, n, component (the smallest _id reached)."""
     sets = C.written(document_sets(docs), "sets")
     candidates = C.written(_candidates(docs, sets), "candidates")
-    buckets = C.buckets_for(candidates)
+    buckets = C.buckets_for(candidates, "tokens", 8 << 20)
     members = C.written(_members(candidates, buckets), "members")
-    slim = members.select("sid", "n", "pid", "ns")
-    profiles = slim.groupBy("pid").agg(F.min(F.struct("n", "sid")).alias("h"), F.count(F.lit(1)).alias("size")).select("pid", F.col("h.n").alias("least"), F.col("h.sid").alias("head"), "size")
+    names = C.written(candidates.select("s1", "s2", "sid"), "names")
+    C.discard(candidates)
+    prefixes = C.written(_prefixes(members), "prefixes")
+    slim = members.select("sid", "n", "pid", "pid2", "ns")
+    profiles = slim.groupBy("pid", "pid2").agg(F.min(F.struct("n", "sid")).alias("h"), F.count(F.lit(1)).alias("size")).select("pid", "pid2", F.col("h.n").alias("least"), F.col("h.sid").alias("head"), "size")
     profiles = C.written(profiles, "profiles")
     # Members of one profile link with its head, if at all.
-    inside = slim.join(profiles, "pid").where("7 * ns >= 3 * (n + least) and sid <> head").select(F.col("sid").alias("u"), F.col("head").alias("v"))
+    inside = slim.join(profiles, ["pid", "pid2"]).where("7 * ns >= 3 * (n + least) and sid <> head").select(F.col("sid").alias("u"), F.col("head").alias("v"))
 
     def token_groups(rows: DataFrame, reduce, schema: str) -> DataFrame:
-        packed = rows.select("sid", "pid", "n", *_WHERE, "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
+        packed = rows.select("sid", "pid", "n", "ns", *_WHERE, "tokens").mapInArrow(lambda b: _token_rows(b, buckets), C.packed_schema(_TOKENS))
         return packed.groupBy("bucket").applyInArrow(reduce, schema)
 
-    votes = token_groups(members.withColumns({"label": F.col("sid"), "cluster": F.col("sid"), "members": F.lit(1).cast("long"), "block": F.lit(0).cast("long"), "main": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
+    votes = token_groups(prefixes.withColumns({"label": F.col("sid"), "cluster": F.col("sid"), "members": F.lit(1).cast("long"), "block": F.lit(0).cast("long"), "main": F.lit(1).cast("long")}), _leaders, "p long, q long, votes long")
     best = votes.groupBy("p", "q").agg(F.sum("votes").alias("votes")).groupBy("p").agg(F.max(F.struct(F.when(F.col("p") != F.col("q"), F.col("votes")).otherwise(0).alias("votes"), "q")).alias("b")).select("p", F.col("b.q").alias("q"))
     joined = components(best.select(F.col("p").alias("u"), F.col("q").alias("v")))
     clusters = slim.select("sid").join(joined, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("cluster"))
     placed = C.written(_placed(members, clusters), "placed")
-    apart = slim.join(profiles, "pid").where("7 * ns < 3 * (n + least)").groupBy("pid").agg(F.min(F.struct("n", "sid")).alias("r"), F.count(F.lit(1)).alias("c"), F.first("least").alias("least"))
-    speakers = C.written(apart.where("c > 1").select(F.col("r.sid").alias("sid"), "pid", "least"), "speakers")
+    apart = slim.join(profiles, ["pid", "pid2"]).where("7 * ns < 3 * (n + least)").groupBy("pid", "pid2").agg(F.min(F.struct("n", "sid")).alias("r"), F.count(F.lit(1)).alias("c"), F.first("least").alias("least"))
+    speakers = C.written(apart.where("c > 1").select(F.col("r.sid").alias("sid"), "pid", "pid2", "least"), "speakers")
     found = C.written(_in_clusters(members, placed, speakers), "found")
     edges = C.written(inside.unionByName(_all_links(found, slim, speakers)), "links")
     labels = components(edges)
     known = slim.select("sid").join(labels, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("label", "sid").alias("label"))
     known = C.written(_marked(known, placed, speakers), "labels")
-    meetings = token_groups(members.join(known, "sid"), _meetings, "cluster long, block long, sid long")
+    meetings = token_groups(prefixes.join(known, "sid"), _meetings, "cluster long, block long, sid long")
     asking = C.written(meetings.distinct(), "meetings")
-    found = C.written(_across(members, placed, asking, speakers), "found")
-    more = C.written(_all_links(found, slim, speakers), "links")
+    across = C.written(_across(members, placed, asking, speakers), "found")
+    more = C.written(_all_links(across, slim, speakers), "links")
     if more.limit(1).count():
+        C.discard(labels)
         labels = components(edges.unionByName(more))
+    C.discard(members, prefixes, profiles, joined, placed, speakers, found, edges, known, asking, across, more)
     # The smallest id of each class, then of each component, then back to the rows.
     classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("_id").alias("least"))
-    known = classes.join(labels, F.col("s1") == F.col("node"), "left").select("s1", "s2", "least", "label")
+    labels = names.join(labels, F.col("sid") == F.col("node")).select("s1", "s2", "label")
+    known = classes.join(labels, ["s1", "s2"], "left").select("s1", "s2", "least", "label")
     lowest = known.where("label is not null").groupBy("label").agg(F.min("least").alias("lowest"))
     of = known.join(lowest, "label", "left").select("s1", "s2", F.coalesce("lowest", "least").alias("component"))
     joined = sets.join(of, ["s1", "s2"], "left")

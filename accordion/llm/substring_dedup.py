@@ -80,7 +80,7 @@ def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFram
             yield from _edge_rows(group, k, buckets)
 
     pieces = near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, "_id long, _th long, at int, n int")
-    paths = pieces.groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("pieces"))
+    paths = pieces.groupBy("_id", "_th").agg(F.collect_set(F.struct("at", "n")).alias("pieces"))
     return rows, paths
 
 

@@ -6,16 +6,20 @@
 2. The segments of the others travel once for each distinct content and gathered batch.
    A bucket sorts the suffixes of its distinct segments in blocks of whole minimiser
    groups by two-stage sorting: only suffixes smaller than their successors are sorted
-   directly (by k bytes), the rest are induced by scanning the buckets of first bytes.
+   directly, 8 bytes at a time until ``KEYS`` or fewer are alike so far and then by what is
+   left of their k bytes; the rest are induced by scanning the buckets of first bytes.
    Neighbours in the suffix array with a common prefix of k bytes are the repeats; a
    segment that occurs twice as a whole repeats in all its windows (a group of such
    segments only needs no sorting).
-3. Minimisers of very many occurrences (``HOT``, at least 1 in 100,000 of all, so there
-   are at most 100,000 of them) do not travel as segments: their windows meet by a
-   128-bit hash, reduced in each task first. That is exact and deals any hot passage out.
+3. Minimisers of ``HOT`` occurrences and more do not travel as segments: their windows
+   meet by a 128-bit hash, reduced in each task first. That is exact and deals any hot
+   passage out, so a group that is sorted never has more than ``HOT`` segments of 2k bytes.
+   Up to ``LISTED`` such minimisers are sent to the tasks as a list; beyond, a join marks
+   them.
 
 Matches never cross rows. Defined results: null or empty text has no bytes; repeated rows
-count as other occurrences; windows are judged on the input; other columns are not read.
+(also of one doc_id) count as other occurrences and get the same result; a null doc_id
+stays null; windows are judged on the input; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-GRAM, BLOCK, HOT, PIECE = 32, 128 << 10, 4096, 2 << 20
+GRAM, BLOCK, HOT, LISTED, PIECE, KEYS = 32, 128 << 10, 4096, 100_000, 2 << 20, 1 << 14
 _PIECES = "body lens keys known occ owner at ids ths hash1 hash2"
 
 
@@ -64,9 +68,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     ahead = until[np.searchsorted(until, np.arange(n))]
     following = np.r_[text, 0].astype(np.int64)
     smaller = (ahead < n - 1) & (following[np.minimum(ahead + 1, n)] > following[:n])
-    raw = text.tobytes()
-    direct = np.flatnonzero(smaller)
-    direct = np.array(sorted(direct.tolist(), key=lambda i: raw[i : i + depth]), np.int64)
+    direct = _directly(text, np.flatnonzero(smaller), depth)
     split = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     waiting[int(text[n - 1])].append(np.array([n - 1]))  # induced by the end of the text
@@ -95,19 +97,66 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _equal_next(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Whether the suffix at[i] and the next share a prefix of depth bytes (both have it)."""
-    same = np.ones(max(0, len(at) - 1), bool)
-    wide = np.lib.stride_tricks.sliding_window_view(np.r_[text, np.zeros(8, np.uint8)], 8)[: len(text)].copy().view(np.uint64).ravel()
-    live = np.flatnonzero(same)
-    for off in [*range(0, depth - 7, 8), *([depth - 8] if depth % 8 else [])] if depth >= 8 else ():
-        live = live[wide[at[live] + off] == wide[at[live + 1] + off]]
-    if depth < 8:
-        for off in range(depth):
-            live = live[text[at[live] + off] == text[at[live + 1] + off]]
-    same[:] = False
-    same[live] = True
-    return same
+def _directly(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+    """Suffix starts in the order of their first ``depth`` bytes, sorted as strings. Only
+    ``KEYS`` strings exist at a time."""
+    raw, wide = text.tobytes(), _words(text)
+    out, work = [np.zeros(0, np.int64)], [(starts, 0)]
+    while work:
+        group, off = work.pop()
+        if len(group) <= KEYS or off >= depth:
+            if off < depth:
+                group = np.array(sorted(group.tolist(), key=lambda i: raw[i + off : i + depth]), np.int64)  # noqa: B023
+            else:
+                group = np.sort(group)[::-1]  # alike, but for one that the end cuts short
+            out.append(group)
+            continue
+        word = wide[np.minimum(group + off, len(text))]
+        if depth - off < 8:
+            word &= np.uint64((1 << 64) - (1 << 8 * (8 - depth + off)))
+        order = np.argsort(word, kind="stable")
+        group, word = group[order], word[order]
+        ends = np.r_[np.flatnonzero(word[1:] != word[:-1]) + 1, len(group)]
+        # Neighbouring small groups are sorted together from here, large ones from the next word.
+        parts, begin, last = [], 0, 0
+        for end in ends.tolist():
+            if end - begin > KEYS:
+                if last > begin:
+                    parts.append((group[begin:last], off))
+                begin = last
+                if end - begin > KEYS:
+                    parts.append((group[begin:end], off + 8))
+                    begin = end
+            last = end
+        if last > begin:
+            parts.append((group[begin:last], off))
+        work += reversed(parts)
+    return np.concatenate(out)
+
+
+def _words(text: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as a number, the first byte highest (zeros past the end)."""
+    filled = np.r_[text, np.zeros(8, np.uint8)]
+    return np.lib.stride_tricks.sliding_window_view(filled, 8).copy().view(">u8").ravel().astype(np.uint64)
+
+
+def common_prefixes(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Lengths of the common prefix of the suffixes at[i] and at[i + 1], at most ``depth``."""
+    wide = _words(text)
+    out = np.zeros(max(0, len(at) - 1), np.int64)
+    live = np.arange(len(out))
+    for off in range(0, depth, 8):
+        differ = wide[np.minimum(at[live] + off, len(text))] ^ wide[np.minimum(at[live + 1] + off, len(text))]
+        stop = differ != 0
+        # Equal bytes before the first that differs.
+        last = differ[stop]
+        equal = np.zeros(len(last), np.int64)
+        for i in range(1, 8):
+            equal += last < np.uint64(1 << 8 * (8 - i))
+        out[live[stop]] = off + equal
+        live = live[~stop]
+    out[live] = depth
+    return np.minimum(out, depth)
 
 
 def repeated_windows(segments: list[bytes], twice: np.ndarray, k: int) -> list[np.ndarray]:
@@ -121,7 +170,7 @@ def repeated_windows(segments: list[bytes], twice: np.ndarray, k: int) -> list[n
         fits[a : a + n - k + 1] = True
     order = suffix_array(text, k)
     order = order[fits[order]]
-    same = _equal_next(text, order, k)
+    same = common_prefixes(text, order, k) >= k
     hit = np.zeros(len(text), bool)
     hit[order[:-1][same]] = True
     hit[order[1:][same]] = True
@@ -141,7 +190,7 @@ def removed_runs(docs: DataFrame, k: int = 400) -> tuple[DataFrame, DataFrame]:
     # Occurrences of a row's minimisers: a hot one is known by the rows it was found in.
     hits = found.groupBy("_id", "_th").agg(F.collect_set("idx").alias("hits"))
     near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits")
-    hot = _hot_keys(near, found, k)
+    near, hot = _hot_marked(near, found, k)
 
     def segments(batches):
         for group in C._gathered(C.slices_of(batches, PIECE), 6 << 20):
@@ -151,27 +200,46 @@ def removed_runs(docs: DataFrame, k: int = 400) -> tuple[DataFrame, DataFrame]:
         return _segment_verdict(table, k)
 
     pieces = near.mapInArrow(segments, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(verdict, "_id long, _th long, at int, n int")
-    return rows, pieces.groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    return rows, pieces.groupBy("_id", "_th").agg(F.collect_set(F.struct("at", "n")).alias("runs"))
 
 
-def _hot_keys(near: DataFrame, found: DataFrame, k: int) -> np.ndarray:
-    """Minimisers of at least max(HOT, 1 in 100,000) of the repeated occurrences."""
-    total = found.count()
-    if total < HOT:
-        return np.zeros(0, C.U64)
-    least = max(HOT, total // 100_000)
+def _hits(s: pa.RecordBatch, name: str, owner: np.ndarray) -> np.ndarray:
+    """The segments that a column of their numbers within their rows names."""
+    hits = s.column(s.schema.get_field_index(name))
+    lead = np.searchsorted(owner, np.arange(s.num_rows + 1))
+    row = np.repeat(np.arange(s.num_rows), np.asarray(hits.value_lengths().fill_null(0)))
+    return np.unique(lead[row] + np.asarray(hits.flatten(), dtype=np.int64))
+
+
+def _hot_marked(near: DataFrame, found: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
+    """Rows with a column ``hot`` (numbers of segments whose minimiser is hot; null where the
+    list tells), and the list of hot minimisers, empty if there are too many to list."""
+    none = near.withColumn("hot", F.lit(None).cast("array<int>"))
+    if found.limit(HOT).count() < HOT:
+        return none, np.zeros(0, C.U64)
 
     def counted(batches):
         for s in C.slices_of(batches, PIECE):
-            key, owner, _, _, _ = segments_of(*C.texts_of(s), k)
-            hits = s.column(s.schema.get_field_index("hits"))
-            lead = np.searchsorted(owner, np.arange(s.num_rows + 1))
-            take = lead[np.repeat(np.arange(s.num_rows), np.asarray(hits.value_lengths().fill_null(0)))] + np.asarray(hits.flatten())
-            keys, n = np.unique(key[take].view(np.int64), return_counts=True)
+            key, owner, *_ = segments_of(*C.texts_of(s), k)
+            keys, n = np.unique(key[_hits(s, "hits", owner)].view(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
-    rows = near.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(C.U64))
+    hot = C.written(near.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT).select("key"), "hot")
+    listed = hot.limit(LISTED + 1).collect()
+    if len(listed) <= LISTED:
+        return none, np.sort(np.array([r[0] for r in listed], np.int64).view(C.U64))
+
+    def named(batches):
+        for s in C.slices_of(batches, PIECE):
+            key, owner, number, *_ = segments_of(*C.texts_of(s), k)
+            take = _hits(s, "hits", owner)
+            row = owner[take]
+            cols = (C.longs_of(s, "_id")[row], C.longs_of(s, "_th")[row], number[take].astype(np.int32), key[take].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["_id", "_th", "idx", "key"])
+
+    marks = near.mapInArrow(named, "_id long, _th long, idx int, key long").join(hot, "key", "left_semi")
+    marks = marks.groupBy("_id", "_th").agg(F.collect_set("idx").alias("hot"))
+    return near.join(marks, ["_id", "_th"], "left"), np.zeros(0, C.U64)
 
 
 def _segment_rows(group, k, buckets, hot):
@@ -181,11 +249,9 @@ def _segment_rows(group, k, buckets, hot):
     for s in group:
         data, offsets = C.texts_of(s)
         key, owner, number, window, count = segments_of(data, offsets, k)
-        hits = s.column(s.schema.get_field_index("hits"))
-        lead = np.searchsorted(owner, np.arange(s.num_rows + 1))
-        take = np.unique(lead[np.repeat(np.arange(s.num_rows), np.asarray(hits.value_lengths().fill_null(0)))] + np.asarray(hits.flatten()))
+        take = _hits(s, "hits", owner)
+        is_hot = np.isin(key[take], hot) | np.isin(take, _hits(s, "hot", owner))
         key, owner, window, count = key[take], owner[take], window[take], count[take]
-        is_hot = np.isin(key, hot)
         if is_hot.any():
             n, who, first = count[is_hot], owner[is_hot], window[is_hot]
             at = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
