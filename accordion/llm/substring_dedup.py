@@ -1,23 +1,30 @@
 """Operator 9, substring dedup: de Bruijn compaction of repeated token k-mers.
 
 An edge of the graph is a window of ``k`` words (13); its nodes are the k-1 words at
-either end. Edges are dealt out by their minimiser (the smallest of the word 5-grams
-inside), so a run of consecutive edges with one minimiser, a super-edge, travels as one
-piece: this is the bucketing used to compact de Bruijn graphs outside memory.
-
-1. Super-edges whose minimiser occurs in one row only can hold no repeated edge and go
-   no further (a packed exchange of 4 bytes a minimiser).
-2. The edges of the others meet by minimiser; an edge is repeated where a smaller
-   ``doc_id`` has it. Runs of repeated edges inside a super-edge are the nonbranching
-   path pieces.
-3. A Spark aggregation by source coordinate glues pieces that follow one another, and a
-   Spark join with the rows turns the compacted paths into removed word spans.
+either end. The graph has the edges that two or more ``doc_id`` hold; the source of an
+edge is its smallest ``doc_id`` and the place there.
+
+1. Edges are dealt out by their minimiser (the smallest of the word 5-grams inside), so a
+   run of edges with one minimiser travels as one. Minimisers that occur in one row only
+   hold no repeated edge and go no further (a packed exchange of 4 bytes a minimiser).
+2. In a bucket the repeated edges, in the order of their sources, compact to pieces: two
+   edges that follow one another in their source stay together where the node between
+   has one edge in and one out. Every other occurrence is given as runs over pieces.
+3. Pieces compact through Spark joins: degrees count the pieces that begin and end at a
+   node, a node with one of either links the two, and pointer jumping gives each piece its
+   path and place on it (``compacted``). A side branch inside a piece that only shows in
+   another bucket does not cut it. Cycles stay pieces.
+4. Occurrences join their paths; runs on one path whose coordinates in the row and on the
+   path go on together are one long span, and a span counts as whole only if its runs
+   cover the coordinates between without a gap. Spans become removed words by a join.
 
 Hot keys: each task first reduces its own rows, so an edge that a third of all rows hold
-reaches its bucket once per gathered batch. Edges compare by 96 bits of hash within one
-minimiser. Defined results: null or empty text has no words; a null ``doc_id`` counts as
-smaller than all others; rows that share a ``doc_id`` never remove words from each other;
-other columns are not looked at.
+reaches its bucket once per gathered batch; the occurrences reduced away were compared
+with their batch's source word by word (64 bits a word). Edges of different batches
+compare by 128 bits of hash, not by their words. Defined results: null or empty text has
+no words; a null ``doc_id`` counts as smaller than all others; rows that share a
+``doc_id`` never remove words from each other; repeated rows have the same result; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,14 +34,15 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
 
 GRAM = 5
-_PIECES = "edge tail owner at ids ths"
+_PIECES = "left right owner at ids ths"
+_FOUND = "kind int, _id long, _th long, at int, n int, pid long, off int, a long, b long"
 
 
 def super_edges(data: np.ndarray, offsets: np.ndarray, k: int):
@@ -79,14 +87,48 @@ def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFram
         for group in C._gathered(C.slices_of(batches), 12 << 20):
             yield from _edge_rows(group, k, buckets)
 
-    pieces = near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, "_id long, _th long, at int, n int")
-    paths = pieces.groupBy("_id", "_th").agg(F.collect_set(F.struct("at", "n")).alias("pieces"))
-    return rows, paths
+    found = near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, _FOUND)
+    return rows, _long_spans(C.written(found, "edges"))
+
+
+def _long_spans(found: DataFrame) -> DataFrame:
+    """_id, _th, pieces (first word and number of edges of each removed span)."""
+    places = compacted(found.where("kind = 0").select("pid", "n", "a", "b"))
+    on_path = found.where("kind = 1").join(places, "pid", "left")
+    on_path = on_path.select("_id", "_th", "at", "n", F.coalesce("path", "pid").alias("path"), (F.col("at") - F.col("off") - F.coalesce("place", F.lit(0))).alias("diagonal"))
+    spans = on_path.groupBy("_id", "_th", "path", "diagonal").agg(F.min("at").alias("begin"), F.max(F.col("at") + F.col("n")).alias("end"), F.collect_set(F.struct("at", "n")).alias("runs"))
+    covered = F.aggregate("runs", F.lit(0), lambda total, x: total + x["n"])
+    whole = F.array(F.struct(F.col("begin").alias("at"), (F.col("end") - F.col("begin")).alias("n")))
+    spans = spans.select("_id", "_th", F.explode(F.when(covered == F.col("end") - F.col("begin"), whole).otherwise(F.col("runs"))).alias("piece"))
+    known = found.where("kind = 2").select("_id", "_th", F.struct("at", "n").alias("piece"))
+    return spans.unionByName(known).groupBy("_id", "_th").agg(F.collect_set("piece").alias("pieces"))
+
+
+def compacted(pieces: DataFrame) -> DataFrame:
+    """pid, path (the first piece's pid) and place (edges before it) of the pieces (pid, n,
+    a, b: begin and end node) that have a predecessor on a nonbranching path."""
+    begins = pieces.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("out"), F.min("pid").alias("pid")).where("out = 1")
+    ends = pieces.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("in"), F.min(F.struct("pid", "n")).alias("before")).where("in = 1")
+    links = begins.join(ends, "node").where("pid <> before.pid").select("pid", F.col("before.pid").alias("path"), F.col("before.n").cast("long").alias("place"))
+    places, left = C.written(links, "paths"), None
+    while True:
+        # Each piece takes over what the piece it points to points to.
+        up = places.select(F.col("pid").alias("path"), F.col("path").alias("far"), F.col("place").alias("more"))
+        jumped = places.join(up, "path", "left").select("pid", F.coalesce("far", "path").alias("path"), (F.col("place") + F.coalesce("more", F.lit(0))).alias("place"), F.col("far").isNotNull().alias("open"))
+        seen = Observation()
+        new = C.written(jumped.observe(seen, F.count(F.when(F.col("open"), 1)).alias("open")), "paths")
+        C.discard(places)
+        places, before, left = new, left, seen.get["open"]
+        # The open ones on paths get fewer each round; those on cycles stay open for good.
+        if not left or left == before:
+            return places.where("not open").drop("open")
 
 
 def _edge_rows(group, k, buckets):
-    cols: list[list[np.ndarray]] = [[] for _ in range(5)]
-    ids, ths, seen = [], [], 0
+    """Packed edges of gathered rows. Kind 0: those of the batch's smallest id, with a mark
+    where the batch reduced others away; kind 1: where these others stand."""
+    cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+    ids, ths, words, seen, n_words = [], [], [], 0, 0
     for s in group:
         data, offsets = C.texts_of(s)
         key, owner, number, window, count, symbols, first = super_edges(data, offsets, k)
@@ -97,66 +139,108 @@ def _edge_rows(group, k, buckets):
         count = count[take]
         at = np.repeat(window[take] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
         who = np.repeat(owner[take], count)
-        for c, x in zip(cols, (C.gram_hashes(symbols, k)[at], C.gram_hashes(symbols ^ C.U64(0x5BF0363546BE1CF1), k)[at], np.repeat(key[take], count), who + seen, at - first[who]), strict=True):
+        nodes = C.gram_hashes(symbols, k - 1)
+        for c, x in zip(cols, (nodes[at], nodes[at + 1], np.repeat(key[take], count), who + seen, at - first[who], at + n_words), strict=True):
             c.append(x)
         ids.append(C.longs_of(s, "_id"))
         ths.append(C.longs_of(s, "_th"))
+        words.append(symbols)
         seen += s.num_rows
-    edge, tail, key, owner, at = (np.concatenate(c) for c in cols)
-    ids, ths = np.concatenate(ids), np.concatenate(ths)
-    if not len(edge):
+        n_words += len(symbols)
+    left, right, key, owner, at, word = (np.concatenate(c) for c in cols)
+    ids, ths, words = np.concatenate(ids), np.concatenate(ths), np.concatenate(words)
+    if not len(left):
         return
-    tail = (tail & C.U64(0xFFFFFFFF)).astype(np.uint32)
-    later = _later(edge, tail, ids[owner])
+    number, source = _edges(left, right, ids[owner], ths[owner], at)
+    own = source[number]
+    later = ids[owner] > ids[owner[own]]
+    # Word by word: what is reduced away says what its source says.
+    for i in range(k):
+        later[later] &= words[word[later] + i] == words[word[own[later]] + i]
+    reduced = np.zeros(len(source), bool)
+    reduced[number[later]] = True
     bucket = (C.mix(key) >> C.U64(40)).astype(np.int64) % buckets
     out = []
 
-    def add(number, kind, edge, tail, owner, at):
+    def add(no, kind, left, right, owner, at):
         used, local = np.unique(owner, return_inverse=True)
-        out.append((number, kind, edge, tail, local.astype(np.uint32), at.astype(np.uint32), ids[used], ths[used]))
+        out.append((no, kind, left, right, local.astype(np.uint32), at.astype(np.uint32), ids[used], ths[used]))
 
-    for b, x in C.split_buckets(bucket[~later], [c[~later] for c in (edge, tail, owner, at)]):
+    marked = at.astype(np.uint32) | (reduced[number].astype(np.uint32) << np.uint32(31))
+    for b, x in C.split_buckets(bucket[~later], [c[~later] for c in (left, right, owner, marked)]):
         add(b, 0, *x)
     if later.any():
-        add(int(ids[0]) % buckets, 1, edge[:0], tail[:0], owner[later], at[later])
+        add(int(ids[0]) % buckets, 1, left[:0], right[:0], owner[later], at[later])
     yield C.packed(out, _PIECES)
 
 
-def _later(edge, tail, ids) -> np.ndarray:
-    """Which edges a smaller id has too."""
-    order = np.lexsort((tail, edge))
-    e, t, i = edge[order], tail[order], ids[order]
-    begin = np.flatnonzero(np.r_[True, (e[1:] != e[:-1]) | (t[1:] != t[:-1])])
-    least = np.repeat(np.minimum.reduceat(i, begin), np.diff(np.r_[begin, len(e)]))
-    out = np.zeros(len(edge), bool)
-    out[order] = i > least
-    return out
+def _edges(left, right, ids, ths, at) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct edge of each occurrence, and of each edge the occurrence that is its
+    source: the smallest id, hash of the text and place."""
+    order = np.lexsort((at, ths, ids, right, left))
+    a, b = left[order], right[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
 
 
 def _edge_verdict(table: pa.Table) -> pa.Table:
-    edges, tails, ids, ths, ats, rows, seen = [], [], [], [], [], [], 0
-    out = []
+    """Of a bucket the pieces (kind 0), the occurrences as runs over them (kind 1), and what
+    the batches found (kind 2)."""
+    cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+    out, seen = [], 0
+    none = lambda n: np.zeros(n, np.int64)
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
         owner, at, row_ids, row_ths = get("owner", np.uint32), get("at", np.uint32), get("ids", np.int64), get("ths", np.int64)
         if table.column("kind")[r].as_py():
-            out.append(_runs(row_ids[owner], row_ths[owner], owner, at))
+            i, t, p, n = _runs(row_ids[owner], row_ths[owner], owner, at)
+            out.append((none(len(i)) + 2, i, t, p, n, *[none(len(i))] * 4))
             continue
-        edges.append(get("edge", np.uint64))
-        tails.append(get("tail", np.uint32))
-        ids.append(row_ids[owner])
-        ths.append(row_ths[owner])
-        ats.append(at)
-        rows.append(owner + np.int64(seen))
+        for c, x in zip(cols, (get("left", np.uint64), get("right", np.uint64), row_ids[owner], row_ths[owner], at, owner + np.int64(seen)), strict=True):
+            c.append(x)
         seen += len(row_ids)
-    if edges:
-        ids, ths, at, row = (np.concatenate(x) for x in (ids, ths, ats, rows))
-        hit = _later(np.concatenate(edges), np.concatenate(tails), ids)
-        out.append(_runs(ids[hit], ths[hit], row[hit], at[hit]))
-    names = ("_id", "_th", "at", "n")
-    return pa.table({n: np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i, n in enumerate(names)}).cast(
-        pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
-    )
+    if seen:
+        left, right, ids, ths, at, row = (np.concatenate(c) for c in cols)
+        reduced, at = at >> np.uint32(31) == 1, (at & np.uint32(0x7FFFFFFF)).astype(np.int64)
+        number, source = _edges(left, right, ids, ths, at)
+        later = ids > ids[source][number]
+        repeated = np.zeros(len(source), bool)
+        repeated[number[later | reduced]] = True
+        # Repeated edges in the order of their sources; where pieces begin.
+        edge = np.flatnonzero(repeated)
+        edge = edge[np.lexsort((at[source[edge]], ths[source[edge]], ids[source[edge]]))]
+        s = source[edge]
+        one_out, one_in = _alone(left[s]), _alone(right[s])
+        goes_on = (ids[s[1:]] == ids[s[:-1]]) & (ths[s[1:]] == ths[s[:-1]]) & (at[s[1:]] == at[s[:-1]] + 1) & (right[s[:-1]] == left[s[1:]]) & one_in[:-1] & one_out[1:]
+        first = np.flatnonzero(np.r_[True, ~goes_on][: len(s)])
+        length = np.diff(np.r_[first, len(s)])
+        pid = (table.column("bucket")[0].as_py() << 32) + np.arange(len(first))
+        if len(s):
+            last = s[first + length - 1]
+            head = s[first]
+            out.append((none(len(first)), ids[head], ths[head], at[head], length, pid, none(len(first)), left[head].view(np.int64), right[last].view(np.int64)))
+        piece, off = none(len(source)), none(len(source))
+        piece[edge] = np.repeat(pid, length)
+        off[edge] = np.arange(len(s)) - np.repeat(first, length)
+        # The later occurrences: runs that follow their piece.
+        hit = np.flatnonzero(later)
+        hit = hit[np.lexsort((at[hit], row[hit]))]
+        p, o = piece[number[hit]], off[number[hit]]
+        goes_on = (row[hit[1:]] == row[hit[:-1]]) & (at[hit[1:]] == at[hit[:-1]] + 1) & (p[1:] == p[:-1]) & (o[1:] == o[:-1] + 1)
+        first = np.flatnonzero(np.r_[True, ~goes_on][: len(hit)])
+        h = hit[first]
+        out.append((none(len(h)) + 1, ids[h], ths[h], at[h], np.diff(np.r_[first, len(hit)]), p[first], o[first], none(len(h)), none(len(h))))
+    names = ("kind", "_id", "_th", "at", "n", "pid", "off", "a", "b")
+    kinds = pa.schema([(n, pa.int32() if n in ("kind", "at", "n", "off") else pa.int64()) for n in names])
+    return pa.table({n: np.concatenate([x[i] for x in out]).astype(np.int64) if out else none(0) for i, n in enumerate(names)}).cast(kinds)
+
+
+def _alone(nodes: np.ndarray) -> np.ndarray:
+    """Which nodes are there once."""
+    _, inverse, count = np.unique(nodes, return_inverse=True, return_counts=True)
+    return count[inverse] == 1
 
 
 def _runs(ids, ths, row, at):
