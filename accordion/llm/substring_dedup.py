@@ -9,14 +9,18 @@ edge is its smallest ``doc_id`` and the place there.
    hold no repeated edge and go no further (a packed exchange of 4 bytes a minimiser).
 2. In a bucket the repeated edges, in the order of their sources, compact to pieces: two
    edges that follow one another in their source stay together where the node between
-   has one edge in and one out. Every other occurrence is given as runs over pieces.
-3. Pieces compact through Spark joins: degrees count the pieces that begin and end at a
-   node, a node with one of either links the two, and pointer jumping gives each piece its
-   path and place on it (``compacted``). A side branch inside a piece that only shows in
-   another bucket does not cut it. Cycles stay pieces.
-4. Occurrences join their paths; runs on one path whose coordinates in the row and on the
-   path go on together are one long span, and a span counts as whole only if its runs
-   cover the coordinates between without a gap. Spans become removed words by a join.
+   has one edge in and one out. Every other occurrence is given as runs over pieces, with
+   the coordinates of the source.
+3. Runs meet in a Spark aggregation by row and, in a join with the rows, are glued to long
+   spans: runs that go on where the last one ended, in the row and in the same source.
+   Coordinates that do not agree begin another span. Spans become removed words.
+
+``repeated_paths`` gives the graph itself: pieces compact through Spark joins to whole
+nonbranching paths. Degrees count the pieces that begin and end at a node, a node with one
+of either links the two, and pointer jumping gives each piece its path and place on it.
+A side branch inside a piece that only shows in another bucket does not cut it; cycles
+stay pieces. Removal does not wait for these joins: a removed word only needs to know
+that a smaller id has its window, and the joins cost more than twice the rest (README).
 
 Hot keys: each task first reduces its own rows, so an edge that a third of all rows hold
 reaches its bucket once per gathered batch; the occurrences reduced away were compared
@@ -41,8 +45,10 @@ from pyspark.sql import types as T
 from . import common as C
 
 GRAM = 5
-_PIECES = "left right owner at ids ths"
-_FOUND = "kind int, _id long, _th long, at int, n int, pid long, off int, a long, b long"
+_PIECES = "nodes lens marks owner at ids ths"
+#: Kind 0: a piece, with its name and end nodes. Others: a run, with its source's address
+#: and how far ahead the source is in words.
+_FOUND = "kind int, _id long, _th long, at int, n int, pid long, a long, b long, sid long, sth long, off int"
 
 
 def super_edges(data: np.ndarray, offsets: np.ndarray, k: int):
@@ -66,14 +72,13 @@ def super_edges(data: np.ndarray, offsets: np.ndarray, k: int):
     return grams[place[begin]], owner, np.arange(len(owner)) - lead[owner], windows[begin], count, symbols, first
 
 
-def repeated_spans(docs: DataFrame, k: int = 13) -> tuple[DataFrame, DataFrame]:
-    """Keyed rows and their path pieces."""
-    return _spans(docs, k, (), ())
+def _by_row(found: DataFrame) -> DataFrame:
+    """For each row with repeated edges its runs (_id, _th, runs)."""
+    return found.where("kind > 0").groupBy("_id", "_th").agg(F.collect_set(F.struct("at", "n", "sid", "sth", "off")).alias("runs"))
 
 
 def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFrame, DataFrame]:
-    """Keyed rows (with columns ``more``, called ``names``), and for each row with repeated edges its path pieces
-    (_id, _th, pieces: first word and number of edges)."""
+    """Keyed rows (with columns ``more``, called ``names``), and what the buckets found."""
     rows = C.keyed(docs, *more)
     buckets = C.buckets_for(docs)
 
@@ -87,21 +92,17 @@ def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFram
         for group in C._gathered(C.slices_of(batches), 12 << 20):
             yield from _edge_rows(group, k, buckets)
 
-    found = near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, _FOUND)
-    return rows, _long_spans(C.written(found, "edges"))
+    return rows, near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, _FOUND)
 
 
-def _long_spans(found: DataFrame) -> DataFrame:
-    """_id, _th, pieces (first word and number of edges of each removed span)."""
-    places = compacted(found.where("kind = 0").select("pid", "n", "a", "b"))
-    on_path = found.where("kind = 1").join(places, "pid", "left")
-    on_path = on_path.select("_id", "_th", "at", "n", F.coalesce("path", "pid").alias("path"), (F.col("at") - F.col("off") - F.coalesce("place", F.lit(0))).alias("diagonal"))
-    spans = on_path.groupBy("_id", "_th", "path", "diagonal").agg(F.min("at").alias("begin"), F.max(F.col("at") + F.col("n")).alias("end"), F.collect_set(F.struct("at", "n")).alias("runs"))
-    covered = F.aggregate("runs", F.lit(0), lambda total, x: total + x["n"])
-    whole = F.array(F.struct(F.col("begin").alias("at"), (F.col("end") - F.col("begin")).alias("n")))
-    spans = spans.select("_id", "_th", F.explode(F.when(covered == F.col("end") - F.col("begin"), whole).otherwise(F.col("runs"))).alias("piece"))
-    known = found.where("kind = 2").select("_id", "_th", F.struct("at", "n").alias("piece"))
-    return spans.unionByName(known).groupBy("_id", "_th").agg(F.collect_set("piece").alias("pieces"))
+def repeated_paths(docs: DataFrame, k: int = 13) -> DataFrame:
+    """The nonbranching paths of the repeated edges, piece by piece: path, place (edges of
+    the path before the piece), n (its edges), and its source doc_id and first word."""
+    _, found = _spans(docs, k, (), ())
+    pieces = C.written(found.where("kind = 0"), "pieces")
+    places = compacted(pieces.select("pid", "n", "a", "b"))
+    joined = pieces.join(places, "pid", "left")
+    return joined.select(F.coalesce("path", "pid").alias("path"), F.coalesce("place", F.lit(0).cast("long")).alias("place"), "n", C.doc_id_of(F.col("_id")).alias("doc_id"), "at")
 
 
 def compacted(pieces: DataFrame) -> DataFrame:
@@ -159,21 +160,47 @@ def _edge_rows(group, k, buckets):
         later[later] &= words[word[later] + i] == words[word[own[later]] + i]
     reduced = np.zeros(len(source), bool)
     reduced[number[later]] = True
-    bucket = (C.mix(key) >> C.U64(40)).astype(np.int64) % buckets
+    mark = reduced[number]
     out = []
 
-    def add(no, kind, left, right, owner, at):
-        used, local = np.unique(owner, return_inverse=True)
-        out.append((no, kind, left, right, local.astype(np.uint32), at.astype(np.uint32), ids[used], ths[used]))
-
-    marked = at.astype(np.uint32) | (reduced[number].astype(np.uint32) << np.uint32(31))
-    for b, x in C.split_buckets(bucket[~later], [c[~later] for c in (left, right, owner, marked)]):
-        add(b, 0, *x)
+    # Runs of edges that are sent: one node more than edges.
+    sent = np.flatnonzero(~later)
+    goes_on = (owner[sent[1:]] == owner[sent[:-1]]) & (at[sent[1:]] == at[sent[:-1]] + 1) & (key[sent[1:]] == key[sent[:-1]])
+    first = np.flatnonzero(np.r_[True, ~goes_on][: len(sent)])
+    lens = np.diff(np.r_[first, len(sent)])
+    head = sent[first]
+    bucket = (C.mix(key[head]) >> C.U64(40)).astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for runs in np.split(order, cuts) if len(order) else ():
+        n = lens[runs]
+        edge = np.repeat(head[runs] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        nodes = np.empty(int((n + 1).sum()), np.uint64)
+        end = np.cumsum(n + 1) - 1
+        inner = np.ones(len(nodes), bool)
+        inner[end] = False
+        nodes[inner], nodes[end] = left[edge], right[head[runs] + n - 1]
+        used, local = np.unique(owner[head[runs]], return_inverse=True)
+        out.append((int(bucket[runs[0]]), 0, nodes, n.astype(np.uint32), np.packbits(mark[edge]), local.astype(np.uint32), at[head[runs]].astype(np.uint32), ids[used], ths[used]))
     if later.any():
-        add(int(ids[0]) % buckets, 1, left[:0], right[:0], owner[later], at[later])
+        i, t, p, n, sid, sth, off = _runs(np.flatnonzero(later), ids, ths, owner, at, own)
+        out.append((int(ids[0]) % buckets, 1, left[:0], n.astype(np.uint32), np.zeros(0, np.uint8), off.astype(np.int32), p.astype(np.uint32), np.r_[i, sid], np.r_[t, sth]))
     yield C.packed(out, _PIECES)
 
 
+def _runs(which, ids, ths, owner, at, source, piece=None):
+    """Of the occurrences ``which`` (in the order of their rows) the runs that go on in their
+    row and in one source (and on one piece): row address, first word, edges, source
+    address, and how many words the source is ahead."""
+    row, place, there = owner[which], at[which].astype(np.int64), source[which]
+    off, far = at[there].astype(np.int64) - place, owner[there]
+    goes_on = (row[1:] == row[:-1]) & (place[1:] == place[:-1] + 1) & (far[1:] == far[:-1]) & (off[1:] == off[:-1])
+    if piece is not None:
+        goes_on &= piece[which[1:]] == piece[which[:-1]]
+    first = np.flatnonzero(np.r_[True, ~goes_on][: len(row)])
+    return ids[row[first]], ths[row[first]], place[first], np.diff(np.r_[first, len(row)]), ids[far[first]], ths[far[first]], off[first]
+
+
 def _edges(left, right, ids, ths, at) -> tuple[np.ndarray, np.ndarray]:
     """The distinct edge of each occurrence, and of each edge the occurrence that is its
     source: the smallest id, hash of the text and place."""
@@ -188,51 +215,54 @@ def _edges(left, right, ids, ths, at) -> tuple[np.ndarray, np.ndarray]:
 def _edge_verdict(table: pa.Table) -> pa.Table:
     """Of a bucket the pieces (kind 0), the occurrences as runs over them (kind 1), and what
     the batches found (kind 2)."""
-    cols: list[list[np.ndarray]] = [[] for _ in range(6)]
-    out, seen = [], 0
+    cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+    every_id, every_th, out, seen = [], [], [], 0
     none = lambda n: np.zeros(n, np.int64)
     for r in range(table.num_rows):
         get = lambda n, t: np.frombuffer(table.column(n)[r].as_buffer(), t)  # noqa: B023, E731
-        owner, at, row_ids, row_ths = get("owner", np.uint32), get("at", np.uint32), get("ids", np.int64), get("ths", np.int64)
+        lens, ids, ths, first = get("lens", np.uint32).astype(np.int64), get("ids", np.int64), get("ths", np.int64), get("at", np.uint32).astype(np.int64)
         if table.column("kind")[r].as_py():
-            i, t, p, n = _runs(row_ids[owner], row_ths[owner], owner, at)
-            out.append((none(len(i)) + 2, i, t, p, n, *[none(len(i))] * 4))
+            n = len(lens)
+            out.append((none(n) + 2, ids[:n], ths[:n], first, lens, *[none(n)] * 3, ids[n:], ths[n:], get("owner", np.int32)))
             continue
-        for c, x in zip(cols, (get("left", np.uint64), get("right", np.uint64), row_ids[owner], row_ths[owner], at, owner + np.int64(seen)), strict=True):
+        nodes, owner = get("nodes", np.uint64), get("owner", np.uint32).astype(np.int64)
+        lead = np.r_[0, np.cumsum(lens)]
+        inner = np.arange(lead[-1]) - np.repeat(lead[:-1], lens)
+        spot = np.repeat(lead[:-1] + np.arange(len(lens)), lens) + inner
+        marks = np.unpackbits(get("marks", np.uint8), count=int(lead[-1])).astype(bool)
+        for c, x in zip(cols, (nodes[spot], nodes[spot + 1], np.repeat(owner + seen, lens), np.repeat(first, lens) + inner, marks), strict=True):
             c.append(x)
-        seen += len(row_ids)
+        every_id.append(ids)
+        every_th.append(ths)
+        seen += len(ids)
     if seen:
-        left, right, ids, ths, at, row = (np.concatenate(c) for c in cols)
-        reduced, at = at >> np.uint32(31) == 1, (at & np.uint32(0x7FFFFFFF)).astype(np.int64)
-        number, source = _edges(left, right, ids, ths, at)
-        later = ids > ids[source][number]
+        left, right, owner, at, reduced = (np.concatenate(c) for c in cols)
+        ids, ths = np.concatenate(every_id), np.concatenate(every_th)
+        number, source = _edges(left, right, ids[owner], ths[owner], at)
+        own = source[number]
+        later = ids[owner] > ids[owner[own]]
         repeated = np.zeros(len(source), bool)
         repeated[number[later | reduced]] = True
         # Repeated edges in the order of their sources; where pieces begin.
         edge = np.flatnonzero(repeated)
-        edge = edge[np.lexsort((at[source[edge]], ths[source[edge]], ids[source[edge]]))]
         s = source[edge]
-        one_out, one_in = _alone(left[s]), _alone(right[s])
-        goes_on = (ids[s[1:]] == ids[s[:-1]]) & (ths[s[1:]] == ths[s[:-1]]) & (at[s[1:]] == at[s[:-1]] + 1) & (right[s[:-1]] == left[s[1:]]) & one_in[:-1] & one_out[1:]
+        order = np.lexsort((at[s], owner[s], ths[owner[s]], ids[owner[s]]))
+        edge, s = edge[order], s[order]
+        goes_on = (owner[s[1:]] == owner[s[:-1]]) & (at[s[1:]] == at[s[:-1]] + 1) & _alone(right[s])[:-1] & _alone(left[s])[1:]
         first = np.flatnonzero(np.r_[True, ~goes_on][: len(s)])
         length = np.diff(np.r_[first, len(s)])
-        pid = (table.column("bucket")[0].as_py() << 32) + np.arange(len(first))
         if len(s):
-            last = s[first + length - 1]
-            head = s[first]
-            out.append((none(len(first)), ids[head], ths[head], at[head], length, pid, none(len(first)), left[head].view(np.int64), right[last].view(np.int64)))
-        piece, off = none(len(source)), none(len(source))
-        piece[edge] = np.repeat(pid, length)
-        off[edge] = np.arange(len(s)) - np.repeat(first, length)
+            head, last, n = s[first], s[first + length - 1], len(first)
+            pid = (table.column("bucket")[0].as_py() << 32) + np.arange(n)
+            out.append((none(n), ids[owner[head]], ths[owner[head]], at[head], length, pid, left[head].view(np.int64), right[last].view(np.int64), *[none(n)] * 3))
         # The later occurrences: runs that follow their piece.
-        hit = np.flatnonzero(later)
-        hit = hit[np.lexsort((at[hit], row[hit]))]
-        p, o = piece[number[hit]], off[number[hit]]
-        goes_on = (row[hit[1:]] == row[hit[:-1]]) & (at[hit[1:]] == at[hit[:-1]] + 1) & (p[1:] == p[:-1]) & (o[1:] == o[:-1] + 1)
-        first = np.flatnonzero(np.r_[True, ~goes_on][: len(hit)])
-        h = hit[first]
-        out.append((none(len(h)) + 1, ids[h], ths[h], at[h], np.diff(np.r_[first, len(hit)]), p[first], o[first], none(len(h)), none(len(h))))
-    names = ("kind", "_id", "_th", "at", "n", "pid", "off", "a", "b")
+        piece = none(len(source))
+        piece[edge] = np.repeat(np.arange(len(first)), length)
+        which = np.flatnonzero(later)
+        which = which[np.lexsort((at[which], owner[which]))]
+        i, t, p, n, sid, sth, off = _runs(which, ids, ths, owner, at, own, piece[number])
+        out.append((none(len(i)) + 1, i, t, p, n, *[none(len(i))] * 3, sid, sth, off))
+    names = ("kind", "_id", "_th", "at", "n", "pid", "a", "b", "sid", "sth", "off")
     kinds = pa.schema([(n, pa.int32() if n in ("kind", "at", "n", "off") else pa.int64()) for n in names])
     return pa.table({n: np.concatenate([x[i] for x in out]).astype(np.int64) if out else none(0) for i, n in enumerate(names)}).cast(kinds)
 
@@ -243,45 +273,45 @@ def _alone(nodes: np.ndarray) -> np.ndarray:
     return count[inverse] == 1
 
 
-def _runs(ids, ths, row, at):
-    """Consecutive repeated edges of a row as one path piece."""
-    order = np.lexsort((at, row))
-    ids, ths, row, at = ids[order], ths[order], row[order].astype(np.int64), at[order].astype(np.int64)
-    begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)][: len(row)])
-    return ids[begin], ths[begin], at[begin], np.diff(np.r_[begin, len(row)])
-
-
-def _kept(words: list[bytes], pieces, k: int) -> tuple[list[bytes], int, int]:
-    """The words that stay; compacted paths; the words of the longest removed span."""
-    if not pieces:
-        return words, 0, 0
-    edge = np.zeros(len(words) + 1, np.int64)
-    for p in pieces:
-        edge[p["at"]] += 1
-        edge[min(p["at"] + p["n"] + k - 1, len(words))] -= 1
-    gone = np.cumsum(edge[:-1]) > 0
-    turn = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-    return list(compress(words, ~gone)), len(turn) // 2, int((turn[1::2] - turn[::2]).max())
+def _spans_of(batch: pa.RecordBatch, k: int):
+    """The long spans of a batch's rows: row, first word, words; runs that go on in their row
+    and in one source are one span."""
+    runs = batch.column(batch.schema.get_field_index("runs"))
+    row = np.repeat(np.arange(batch.num_rows), np.asarray(runs.value_lengths().fill_null(0)))
+    value = runs.flatten()
+    at, n, sid, sth, off = (np.asarray(value.field(c), dtype=np.int64) for c in ("at", "n", "sid", "sth", "off"))
+    order = np.lexsort((at, off, sth, sid, row))
+    row, at, n, sid, sth, off = (x[order] for x in (row, at, n, sid, sth, off))
+    goes_on = (row[1:] == row[:-1]) & (sid[1:] == sid[:-1]) & (sth[1:] == sth[:-1]) & (off[1:] == off[:-1]) & (at[1:] == at[:-1] + n[:-1])
+    first = np.flatnonzero(np.r_[True, ~goes_on][: len(row)])
+    last = np.r_[first[1:], len(row)] - 1
+    return row[first], at[first], (at[last] + n[last] - at[first] + k - 1 if len(first) else at[first])
 
 
 def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False, more: tuple = (), names: tuple = ()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, n_paths,
-    longest_path, with ``with_text`` kept_text (kept words joined by one space), and the
-    columns ``more``, called ``names``."""
-    rows, paths = _spans(docs, k, more, names)
-    joined = rows.join(paths.hint("shuffle_hash"), ["_id", "_th"], "left").select("_id", "_th", "text", "pieces", *names)
+    """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, n_paths (long
+    spans of repeated words, which may overlap), longest_path (words of the longest), with
+    ``with_text`` kept_text (kept words joined by one space), and the columns ``more``,
+    called ``names``."""
+    rows, found = _spans(docs, k, more, names)
+    joined = rows.join(_by_row(found).hint("shuffle_hash"), ["_id", "_th"], "left").select("_id", "_th", "text", "runs", *names)
     schema = "_id long, _th long, n_words long, n_removed long, kept_sha256 string, n_paths long, longest_path long" + ", kept_text string" * with_text
 
     def digest(batches):
         for batch in C.slices_of(batches, 16 << 20):
             texts = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary())
-            found = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
+            row, first, length = _spans_of(batch, k)
+            lead = np.searchsorted(row, np.arange(batch.num_rows + 1))
             made = []
-            for text, pieces in zip(texts, found, strict=True):
-                words = text.as_py().split()
-                kept, n_paths, longest = _kept(words, pieces, k)
+            for text, a, b in zip(texts, lead[:-1].tolist(), lead[1:].tolist(), strict=True):
+                words = kept = text.as_py().split()
+                if b > a:
+                    edge = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(edge, first[a:b], 1)
+                    np.add.at(edge, first[a:b] + length[a:b], -1)
+                    kept = list(compress(words, np.cumsum(edge[:-1]) == 0))
                 body = b" ".join(kept)
-                made.append((len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), n_paths, longest, body))
+                made.append((len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), b - a, int(length[a:b].max(initial=0)), body))
             cols = list(zip(*made, strict=True))
             data = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:2]), pa.array(cols[2], pa.string()), *(pa.array(c, pa.int64()) for c in cols[3:5])]
             made_names = ["_id", "_th", "n_words", "n_removed", "kept_sha256", "n_paths", "longest_path"]

@@ -45,3 +45,25 @@ def test_branching_passages(spark, seed, k, parts):
     rows += [(2000 + i, rows[7][1], "en", "s", 1, "x", 1) for i in range(40)]
     got = substring_dedup.dedup_words(spark.createDataFrame(rows, SCHEMA).repartition(parts), k).select("_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == words_removed(rows, k)
+
+
+def test_repeated_paths_follow_their_sources(spark):
+    """Each path's pieces, one after the other, are words that two documents share."""
+    rng = random.Random(6)
+    say = lambda n: [rng.choice(LETTERS) for _ in range(n)]
+    stem, one, two = say(60), say(30), say(30)
+    texts = {1: stem + one + say(4), 2: say(2) + stem + two, 3: stem + one, 4: two + say(9), 5: say(50) + stem + two}
+    docs = spark.createDataFrame([(i, " ".join(t), "", "", 0, "", 0) for i, t in texts.items()], SCHEMA)
+    k, paths = 13, {}
+    for r in substring_dedup.repeated_paths(docs, k).collect():
+        paths.setdefault(r["path"], []).append((r["place"], r["n"], texts[r["doc_id"]][r["at"] : r["at"] + r["n"] + k - 1]))
+    spelled = []
+    for pieces in paths.values():
+        words = []
+        for place, n, said in sorted(pieces):
+            assert words[place:] == said[: len(words) - place] and len(said) == n + k - 1
+            words = words[:place] + said
+        spelled.append(tuple(words))
+    # The stem is one path; what follows it parts into two, each with the stem's last words.
+    assert sorted(map(len, spelled)) == sorted([60, 30 + k - 1, 30 + k - 1])
+    assert tuple(stem) in spelled and all(tuple(stem[-(k - 1) :] + way) in spelled for way in (one, two))
