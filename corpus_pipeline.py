@@ -52,7 +52,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            common.discard(before)
+        before = docs
     return docs
