@@ -8,6 +8,8 @@ that share an id have a defined result.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import re
 import tempfile
@@ -27,6 +29,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NO_ID = -(2**63)
 #: Buckets of a packed exchange up to which their size stays the same.
 WIDE = 1 << 17
+#: Symbols that are hashed at a time, which bounds the tables of powers.
+STRETCH = 1 << 20
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -64,22 +68,32 @@ def _prefix(symbols: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte strings data[starts:ends]."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    sums = _prefix(_SYMBOL[data])
-    _, down = _powers(len(data) + 1)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+    """64-bit hashes of the byte strings data[starts:ends], which stand in order; a stretch
+    of about ``STRETCH`` bytes at a time."""
+    out = np.zeros(len(starts), U64)
+    begin = 0
+    while begin < len(starts):
+        low = int(starts[begin])
+        end = max(begin + 1, int(np.searchsorted(ends, low + STRETCH, "right")))
+        s, e = starts[begin:end] - low, ends[begin:end] - low
+        sums = _prefix(_SYMBOL[data[low : low + int(e[-1])]])
+        _, down = _powers(len(sums))
+        out[begin:end] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
+        begin = end
+    return out
 
 
 def gram_hashes(symbols: np.ndarray, k: int) -> np.ndarray:
     """64-bit hashes of every run of k consecutive symbols (64-bit, well mixed)."""
-    n = len(symbols) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64)
-    sums = _prefix(symbols)
-    _, down = _powers(len(symbols) + 1)
-    return mix((sums[k:] - sums[:n]) * down[:n])
+    n = max(0, len(symbols) - k + 1)
+    out = np.zeros(n, U64)
+    for a in range(0, n, STRETCH):
+        part = symbols[a : a + STRETCH + k - 1]
+        sums = _prefix(part)
+        _, down = _powers(len(sums))
+        m = len(part) - k + 1
+        out[a : a + m] = mix((sums[k:] - sums[:m]) * down[:m])
+    return out
 
 
 def byte_gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -224,6 +238,15 @@ def doc_id_of(column) -> F.Column:
     return F.when(column != F.lit(NO_ID), column)
 
 
+def hand_back() -> None:
+    """Gives freed memory back to the system: a worker goes on to serve other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def split_buckets(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The rows of each bucket, in their order."""
     if not len(bucket):
@@ -298,7 +321,7 @@ def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buc
     names = "key owner idx ids ths"
 
     def mapped(batches):
-        for group in _gathered(slices_of(batches, piece, name), 12 << 20):
+        for group in _gathered(slices_of(batches, piece, name), 8 << 20):
             yield from _anchor_rows(group, anchors, distinct_rows, buckets)
 
     def reduced(table: pa.Table) -> pa.Table:

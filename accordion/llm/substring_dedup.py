@@ -89,7 +89,7 @@ def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFram
     near = rows.join(hits.hint("shuffle_hash"), ["_id", "_th"]).select("_id", "_th", "text", "hits", *names)
 
     def edges(batches):
-        for group in C._gathered(C.slices_of(batches), 12 << 20):
+        for group in C._gathered(C.slices_of(batches), 8 << 20):
             yield from _edge_rows(group, k, buckets)
 
     return rows, near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, _FOUND)

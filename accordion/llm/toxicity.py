@@ -305,6 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     def trained(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table.column("mark").to_pylist(), table.column("ord").to_pylist(), table.column("text").to_pylist(), strict=True), key=lambda r: (-r[0], r[1], r[2]))
         model = train([r[2] for r in rows], [r[0] for r in rows]) or {}
+        C.hand_back()
         return pa.table({"name": pa.array(list(model), pa.string()), "shape": pa.array([list(a.shape) for a in model.values()], pa.list_(pa.int32())), "data": pa.array([a.tobytes() for a in model.values()], pa.binary())})
 
     rows = sample(docs, labels).groupBy(F.lit(0).alias("one")).applyInArrow(trained, "name string, shape array<int>, data binary").collect()
