@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accordion.operators.decide import decide  # noqa: F401  (re-exported for callers of the trail)
 from accordion.plans.policy import RISK_LEVELS, lookup
 
 VERSION = "1.0.0"

@@ -50,6 +50,7 @@ def decide(assessments: DataFrame, policy: Policy, records: DataFrame | None = N
     side = lambda c, other: F.when(F.size(c) > 0, F.array_join(c, ", ")).otherwise(F.lit(other))
     stale = F.concat(F.lit("A reliable source reports "), F.col("d.field"), F.lit("="), quoted(F.col("d.dissent_value")), F.lit(" while the record still shows "), quoted(F.col("d.current_value")))
     short = F.when(F.col("enough"), F.lit("")).otherwise(F.lit("; insufficient independent corroboration"))
+    # The wording of reasons is part of the results that are compared.
     ladder = [
         (~any_change & F.col("d").isNotNull(), "human_review", F.concat(stale, F.lit("; flagged for verification (high-risk field never silently left stale)."))),
         (~any_change, "no_change", F.lit("All checked fields match authoritative sources; record confirmed accurate.")),

@@ -39,6 +39,7 @@ def resolve(directory: DataFrame, registry: DataFrame, candidates: int = 20) ->
     the others searched for by name; a close runner-up makes a search undecided."""
     records, entries = prepared(directory, registry)
     known = records.where("r_npi is not null").join(entries.drop("search"), F.col("r_npi") == F.col("p_npi"), "left").withColumn("s", agreement())
+    # The wording of notes is part of the results that are compared.
     note = lambda *x: F.concat(F.lit("NPI "), F.col("r_npi"), *[F.lit(y) if isinstance(y, str) else y for y in x])
     valid = normalize.valid_npi(F.col("r_npi"))
     cases = [
@@ -51,9 +52,11 @@ def resolve(directory: DataFrame, registry: DataFrame, candidates: int = 20) ->
         status, text = F.when(test, value).otherwise(status), F.when(test, words).otherwise(text)
     by_id = known.select("provider_id", status.alias("status"), F.col("r_npi").alias("npi"), F.when(F.col("p_npi").isNull(), 0.0).otherwise(F.col("s")).alias("agreement"), text.alias("note"))
 
-    cold = records.where("r_npi is null").join(entries, "search", "left").withColumn("s", F.when(F.col("p_npi").isNotNull(), agreement()))
-    arrival, rank = Window.partitionBy("provider_id").orderBy("p_ord", "p_npi"), Window.partitionBy("provider_id").orderBy(F.desc_nulls_last("s"), "p_ord", "p_npi")
-    cold = cold.withColumn("_a", F.row_number().over(arrival)).where(F.col("_a") <= candidates)
+    # A search sees the first entries of its key; these are cut out before the join.
+    arrival = Window.partitionBy("search").orderBy("p_ord", "p_npi")
+    found = entries.withColumn("_a", F.row_number().over(arrival)).where(F.col("_a") <= candidates).drop("_a")
+    cold = records.where("r_npi is null").join(found, "search", "left").withColumn("s", F.when(F.col("p_npi").isNotNull(), agreement()))
+    rank = Window.partitionBy("provider_id").orderBy(F.desc_nulls_last("s"), "p_ord", "p_npi")
     top = cold.withColumns({"_k": F.row_number().over(rank), "next": F.lead("s").over(rank)}).where("_k = 1")
     good = F.coalesce(F.col("s") >= ACCEPT, F.lit(False))
     close = F.coalesce(F.col("next") >= F.col("s") - CLOSE, F.lit(False))

@@ -26,6 +26,7 @@ def risk(records: DataFrame, as_of: date, hard_signals: DataFrame | None = None,
     unit = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
     has_phone = F.col("phone").isNotNull() & (F.col("phone") != "")
     score = STALE * stale + VOLATILE * F.when(has_phone, 0.6).otherwise(0.3) + HARD * unit(hard) + IMPORTANT * unit(weight)
+    # The wording of reasons.
     late = F.concat(days.cast("string"), F.lit(f"d since last verify (> {WINDOW_DAYS}d window)"))
     reasons = F.array_compact(F.array(F.when(never, "never verified").when(days > WINDOW_DAYS, late), F.when(hard > 0, "hard signal (deactivation / diff / bounce-back)")))
     return rows.select("provider_id", exact_round(F.least(score, F.lit(1.0)), 4).alias("score"), days.alias("staleness_days"), reasons.alias("reasons"))

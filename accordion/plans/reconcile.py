@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +53,13 @@ def current_values(records: DataFrame, specialties: DataFrame | None = None) ->
     return rows.select("provider_id", "field", F.when(F.col("field") == "specialty", F.col("code")).otherwise(normalize.of_field(F.col("field"), F.col("raw_cur"))).alias("cur"), "raw_cur", "_field_ord")
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """The first row (by ``_ord``) of each npi; a source that says a thing twice is still
+    one source."""
+    order = F.struct("_ord", F.to_json(F.struct(*[c for c in rows.columns if c != "_ord"]))) if "_ord" in rows.columns else F.to_json(F.struct(*rows.columns))
+    return rows.groupBy("npi").agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+
+
 def harvest(records: DataFrame, inputs: Inputs) -> DataFrame:
     """All that the sources assert, in the order registry, claims, web. Sites are looked
     for only where no extraction of the record's site is at hand."""
@@ -84,6 +91,7 @@ def clues(records: DataFrame, inputs: Inputs) -> DataFrame:
 
 def reconcile(inputs: Inputs, policy: Policy, at=None) -> Result:
     # Each step's table is kept: later steps read it more than once.
+    inputs = replace(inputs, registry=written(one_each(inputs.registry)), claims=written(one_each(inputs.claims)))
     resolved = written(resolve.resolve(inputs.directory, inputs.registry))
     records = inputs.directory.withColumnRenamed("npi", "given_npi").join(resolved.select("provider_id", "status", F.col("npi").alias("found"), "agreement", "note", "usable"), "provider_id")
     records = records.withColumn("npi", F.coalesce("found", "given_npi"))

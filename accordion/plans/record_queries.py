@@ -25,19 +25,39 @@ def _street(x: str) -> str:
     return f"array_to_string(list_transform(list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> ''), lambda w: coalesce({_WORDS}[lower(trim(w, '.,'))], upper(w))), ' ')"
 
 
+_UNITS = "[" + ", ".join(f"'{u}'" for u in N.UNIT_WORDS) + "]"
+_strip = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
 def _address(x: str) -> str:
     """Columns street, suite, city, state, zip5 and canonical from a table ``src`` with x."""
-    return f"""ad0 as (select *, regexp_matches({x}, '{N.ADDRESS}') as fits, regexp_extract({x}, '{N.ADDRESS}', 1) as st, nullif(regexp_extract({x}, '{N.ADDRESS}', 2), '') as ct,
-    nullif(regexp_extract({x}, '{N.ADDRESS}', 3), '') as sta, nullif(regexp_extract({x}, '{N.ADDRESS}', 4), '') as zp from src),
-ad1 as (select *, nullif(regexp_extract(st, '(?i){N.UNIT}', 0), '') as unit, trim(regexp_replace(st, '(?i){N.UNIT}.*$', ''), ' ,') as cutst from ad0),
-ad2 as (select *, nullif({_street(f"case when fits then case when unit is not null then cutst else st end else {x} end")}, '') as street, case when unit is not null then {_street('unit')} end as suite,
-    upper(ct) as city, upper(sta) as state, nullif(substr(regexp_replace(zp, '\\D', '', 'g'), 1, 5), '') as zip5 from ad1),
-ad as (select *, nullif(concat_ws(', ', street, city, nullif(concat_ws(' ', state, zip5), '')), '') as canonical from ad2)"""
+    begins = f"(list_contains({_UNITS}, lower(rtrim(w, '.'))) and regexp_matches(aw[i + 1], '^[\\w-]')) or (contains(w, '-') and list_contains({_UNITS}, lower(split_part(w, '-', 1))))"
+    return f"""ad0 as (select *, string_split({x}, ',') as ap from src),
+ad1 as (select *, {_strip('ap[-1]')} as al, {_strip('ap[-2]')} as ct, {_strip("array_to_string(ap[1:greatest(len(ap) - 2, 0)], ',')")} as st from ad0),
+ad2 as (select *, left(al, 2) as sta, {_strip('substr(al, 3)')} as zp from ad1),
+ad3 as (select * replace (case when len(ap) >= 3 then st else '' end as st), coalesce(len(ap) >= 3 and ct <> '' and regexp_matches(sta, '^[A-Za-z]{{2}}$') and (zp = '' or regexp_matches(zp, '^\\d{{5}}(-\\d{{4}})?$')), false) as fits,
+    list_filter(regexp_split_to_array(regexp_replace(regexp_replace(st, ',', ', ', 'g'), '(\\w)#(\\w)', '\\1 # \\2', 'g'), '\\s+'), lambda w: w <> '') as aw from ad2),
+ad4 as (select *, list_min(list_transform(aw, lambda w, i: case when {begins} then i end)) as ua from ad3),
+ad5 as (select *, case when aw[ua] = '#' then '#' || regexp_extract(aw[ua + 1], '^[\\w-]+') when list_contains({_UNITS}, lower(rtrim(aw[ua], '.'))) then aw[ua] || ' ' || regexp_extract(aw[ua + 1], '^[\\w-]+') else aw[ua] end as unit,
+    trim(array_to_string(aw[1:ua - 1], ' '), ' ,') as cutst from ad4),
+ad6 as (select * exclude (ap, al, aw, ua) replace (case when fits then ct end as ct, case when fits then sta end as sta, case when fits then nullif(zp, '') end as zp, case when fits then unit end as unit) from ad5),
+ad7 as (select *, nullif({_street(f"case when fits then case when unit is not null then cutst else st end else {x} end")}, '') as street, case when unit is not null then {_street('unit')} end as suite,
+    upper(ct) as city, upper(sta) as state, nullif(substr(regexp_replace(zp, '\\D', '', 'g'), 1, 5), '') as zip5 from ad6),
+ad as (select *, nullif(concat_ws(', ', street, city, nullif(concat_ws(' ', state, zip5), '')), '') as canonical from ad7)"""
+
+
+def _extension(x: str) -> str:
+    """A struct of the digits at the end, what stands before them, and the length of the mark there."""
+    marks = " ".join(f"when ends_with(lower(r.b), '{m}') then {len(m)}" for m in N.EXTENSION_MARKS)
+    one = f"list_transform([{_strip(x)}], lambda t: {{'d': regexp_extract(t, '\\d+$'), 't': t}})"
+    two = f"list_transform({one}, lambda r: {{'d': r.d, 'b': {_strip('left(r.t, length(r.t) - length(r.d))')}}})"
+    return f"list_transform({two}, lambda r: {{'d': r.d, 'b': r.b, 'm': case when length(r.d) between 1 and 6 then case {marks} else 0 end else 0 end}})[1]"
 
 
 def _phone(x: str) -> str:
-    digits = f"regexp_replace(regexp_replace({x}, '(?i){N.EXTENSION}', ''), '\\D', '', 'g')"
-    return f"case when regexp_matches({digits}, '^1?([2-9]\\d{{2}}[2-9]\\d{{6}})$') then '+1' || regexp_extract({digits}, '^1?([2-9]\\d{{2}}[2-9]\\d{{6}})$', 1) end"
+    number = f"list_transform([{_extension(x)}], lambda e: case when e.m > 0 then left(e.b, length(e.b) - e.m) else {x} end)[1]"
+    digits = f"regexp_replace({number}, '\\D', '', 'g')"
+    return f"list_transform([{digits}], lambda d: case when regexp_matches(d, '^1?([2-9]\\d{{2}}[2-9]\\d{{6}})$') then '+1' || right(d, 10) end)[1]"
 
 
 def _name(x: str, out: str, src: str) -> str:
@@ -253,7 +273,11 @@ res as (select provider_id, status, npi, agreement, 'NPI ' || npi || case status
 
 # ---- duplicates ----------------------------------------------------------------------
 def _records(spark, sf):
-    return T.directory(spark, sf).select("provider_id", F.when(F.col("_ord") % 5 == 0, F.col("npi")).alias("npi"), "provider_name", "address", "phone")
+    """The directory, and of each tenth record a second one: the name in capitals, the same
+    place, and the phone missing from every other."""
+    d = T.directory(spark, sf).select("provider_id", F.when(F.col("_ord") % 5 == 0, F.col("npi")).alias("npi"), "provider_name", "address", "phone", "_ord")
+    again = d.where("_ord % 10 = 3").select(F.concat("provider_id", F.lit("-2")).alias("provider_id"), "npi", F.upper("provider_name").alias("provider_name"), "address", F.when(F.col("_ord") % 20 == 3, F.col("phone")).alias("phone"))
+    return d.drop("_ord").unionByName(again)
 
 
 def block_keys(spark, sf):
@@ -269,7 +293,8 @@ def duplicate_clusters(spark, sf):
     return matching.clusters(_records(spark, sf)).withColumn("provider_ids", F.array_join("provider_ids", ","))
 
 
-_BLOCKS = f"""{T.DIRECTORY}, dirx as (select provider_id, case when _ord % 5 = 0 then npi end as npi, provider_name, address, phone from dir),
+_BLOCKS = f"""{T.DIRECTORY}, dirx as (select provider_id, case when _ord % 5 = 0 then npi end as npi, provider_name, address, phone from dir
+    union all select provider_id || '-2', case when _ord % 5 = 0 then npi end, upper(provider_name), address, case when _ord % 20 = 3 then phone end from dir where _ord % 10 = 3),
 {_name('provider_name', 'nm', 'dirx')}, src as (select provider_id, npi, canonical as name, family as fam, address, phone from nm), {_address('address')},
 m as (select provider_id, npi, name, fam, canonical as place, zip5, {_phone('phone')} as phone from ad),
 bl as (select * from (select *, 'npi:' || npi as block from m union all select *, 'sx:' || {_soundex('fam')} || ':' || coalesce(zip5, '?????') as block from m where name is not null) where block is not null)"""
@@ -337,7 +362,7 @@ _SITES = f"""{T.DIRECTORY}, {_name('provider_name', 'sn', 'dir')}, src as (selec
 sd as (select page_id as pos, url, html, provider_id, provider_name, practice_name, npi, phone, address, person, canonical as place from pages join ad on page_id = _ord),
 low as (select *, lower(provider_name) as lname from sd), {_name('lname', 'ln', '(select * exclude (fits, st, ct, sta, zp, unit, cutst, street, suite, city, state, zip5, ws, tl, lst, kept, creds, given, middle, family) from (select *, 0 as fits, 0 as st, 0 as ct, 0 as sta, 0 as zp, 0 as unit, 0 as cutst, 0 as street, 0 as suite, 0 as city, 0 as state, 0 as zip5, 0 as ws, 0 as tl, 0 as lst, 0 as kept, 0 as creds, 0 as given, 0 as middle, 0 as family from low))')},
 dm as (select *, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', '') as domain,
-    trim(regexp_replace(upper(case when pos % 2 = 1 then 'About ' || provider_name || '!' else substr(html, 1, 200) end), '[^A-Z0-9]+', ' ', 'g')) as txt,
+    trim(regexp_replace(upper(replace(html, 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g')) as txt,
     trim(regexp_replace(upper(provider_name), '[^A-Z0-9]+', ' ', 'g')) as needle from ln),
 ev as (select *, domain in ({", ".join(f"'{a}'" for a in _AGG)}) as e1, pos % 2 = 0 and {_practice('practice_name')} is not null as e3, pos % 3 = 0 and coalesce(canonical = person, false) as e4,
     pos % 4 = 0 and npi is not null as e5, pos % 5 <> 0 and {_phone('phone')} is not null as e6, pos % 7 <> 0 and place is not null as e7, contains(txt, needle) as e8 from dm),
@@ -431,7 +456,7 @@ def effective_rows(spark, sf):
 
 
 QUERIES = {
-    "normalize_phones": (normalize_phones, f"with {T.DIRECTORY} select provider_id, {_phone('phone')} as phone, nullif(regexp_extract(phone, '(?i){N.EXTENSION}', 1), '') as extension from dir"),
+    "normalize_phones": (normalize_phones, f"with {T.DIRECTORY} select provider_id, {_phone('phone')} as phone, list_transform([{_extension('phone')}], lambda e: case when e.m > 0 then e.d end)[1] as extension from dir"),
     "normalize_addresses": (normalize_addresses, f"with {T.DIRECTORY}, src as (select * from dir), {_address('address')} select provider_id, street, suite, city, state, zip5, canonical from ad"),
     "normalize_names": (normalize_names, f"with {T.DIRECTORY}, {_name('provider_name', 'nm', 'dir')} select provider_id, given, middle, family, array_to_string(list_transform(list_filter(list_transform(creds, lambda c, i: {{'c': c, 'f': list_position(creds, c) = i}}), lambda x: x.f), lambda x: x.c), ',') as credentials, canonical from nm"),
     "normalize_practices": (normalize_practices, f"with {T.DIRECTORY} select provider_id, {_practice('practice_name')} as practice from dir"),
@@ -444,10 +469,10 @@ select c_custkey, nullif(substr(d, 1, 5), '') as zip5, case when length(d) >= 9
     "specialty_codes": (specialty_codes, """with m as (select 'X' || lpad(cast(p_partkey % 40 as varchar), 3, '0') as code, arg_max(p_brand, p_partkey) as specialty from part group by 1),
 f as (select lower(specialty) as label, min(code) as code from m group by 1) select p_partkey, f.code, coalesce(specialty, f.code) as shown from part left join f on lower(p_brand) = label left join m on m.code = f.code"""),
     "page_domains": (page_domains, "select page_id, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', '') as domain, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^$', '') as bare from pages"),
-    "clean_texts": (clean_texts, "select doc_id, nullif(trim(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g')), '') as cleaned, trim(regexp_replace(lower(substr(text, 1, 60)), '[^a-z0-9]+', '_', 'g'), '_') as slug, 'sha256:' || substr(sha256(text), 1, 32) as hash from documents"),
+    "clean_texts": (clean_texts, "select doc_id, nullif(trim(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g')), '') as cleaned, trim(regexp_replace(lower(text), '[^a-z0-9]+', '_', 'g'), '_') as slug, 'sha256:' || substr(sha256(text), 1, 32) as hash from documents"),
     "npi_checks": (npi_checks, f"with n as (select c_custkey, '1' || lpad(cast(c_custkey * 48611 % 100000000 as varchar), 8, '0') as nine from customer) select c_custkey, {_luhn("('80840' || nine || cast(c_custkey % 10 as varchar))")} as valid, {_NPI_OF('nine')} as npi, false as short from n"),
     "soundex_codes": (soundex_codes, f"select p_partkey, {_soundex('''split_part(p_name, ' ', -1)''')} as last, {_soundex('p_name')} as whole, {_soundex('p_type')} as kind from part"),
-    "trigram_pairs": (trigram_pairs, f"""with d as (select doc_id, lang || '|' || lower(substr(text, 1, 8)) as block, {_grams('substr(text, 1, 120)')} as g from documents)
+    "trigram_pairs": (trigram_pairs, f"""with d as (select doc_id, lang || '|' || lower(substr(text, 1, 8)) as block, {_grams('text')} as g from documents)
 select a.doc_id as id_a, b.doc_id as id_b, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 4) as similarity from d a join d b on a.block = b.block and a.doc_id < b.doc_id
 where round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 4) >= 0.82"""),
     "geo_distances": (geo_distances, """with g as (select vec_id, label, cast(embedding[1] as double) * 2 + 26 as lat, cast(embedding[2] as double) * 2 - 81 as lon from embeddings),

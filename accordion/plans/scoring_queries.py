@@ -177,7 +177,8 @@ QUERIES = {
     "assess": (assess, f"with {ASSESS} select * exclude (field_ord) from assessed"),
     "decide": (decide_records, f"with {DECIDE} select * from decided"),
     "recommendation_changes": (recommendation_changes, f"with {ASSESS} select provider_id, row_number() over (partition by provider_id order by field_ord) - 1 as pos, field, raw_current as old_value, raw_proposed as new_value, {_exact('confidence', 2)} as confidence_score, supporting_sources from assessed where changed"),
-    "recommendation_json": (recommendation_json, None),
+    "recommendation_json": (recommendation_json, f"""with {DECIDE} select provider_id, '{{"provider_id":"' || provider_id || '","change_detected":' || cast(change_detected as varchar)
+    || coalesce(',"overall_confidence":' || cast(cast(overall_confidence as double) as varchar), '') || ',"recommended_action":"' || recommended_action || '"}}' as body from decided"""),
     "life_signals": (life_signals, f"""with {ASSESS}, {T.DIRECTORY},
 b as (select dir.provider_id, dir.practice_name is not null and dir._ord % 3 = 0 as firm from dir where provider_id in (select provider_id from assessed)),
 p as (select b.provider_id, max(case when field = 'address' and changed and upper(coalesce(raw_current, '')) <> '' and upper(raw_current) <> upper(raw_proposed) then case when firm then 'practice relocation' else 'provider movement' end || ': ' || coalesce(raw_current, 'None') || ' -> ' || raw_proposed end) as s1,
