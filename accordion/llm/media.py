@@ -133,12 +133,15 @@ def media_rows(docs: DataFrame, with_media: bool = False) -> DataFrame:
             sha = lambda x: hashlib.sha256(x).hexdigest()
             cols = [sizes, [len(p) for p in back], [sha(p) for p in back], [zlib.crc32(p[-UNIT:]) for p in back], [len(w) for w in wavs], [sha(w) for w in wavs], [f"{len(p)}:{sha(p.astype('<i8').tobytes())[:32]}" for p in prints]]
             if with_media:
-                cols += [wavs, [p.tolist() for p in prints]]
-            arrays = [s.column(s.schema.get_field_index("doc_id")).cast(pa.int64()), *(pa.array(c, t) for c, (_, t) in zip(cols, kinds, strict=True))]
+                cols += [wavs, None]
+            arrays = [s.column(s.schema.get_field_index("doc_id")).cast(pa.int64()), *(pa.array(c, t) for c, (_, t) in zip(cols, kinds, strict=True) if c is not None)]
+            if with_media:
+                bounds = np.r_[0, np.cumsum([len(p) for p in prints])]
+                arrays.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(prints) if prints else np.zeros(0, np.int64))))
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(n for n, _ in kinds)])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(made, schema)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_rows(C.shipped(spark).read.parquet(f"{sf_dir}/documents.parquet"))
+    return media_rows(C.shipped(spark).read.parquet(f"{sf_dir}/documents.parquet"), with_media=True)

@@ -8,7 +8,8 @@ rows, so the fold that runs the rounds handles a table of proven size, and the p
 table may be broadcast.
 
 Defined results: null text has no words, lines or symbols; such texts fail the base
-conditions. Repeated rows are judged alike. Columns other than doc_id and text are not
+conditions. A posterior of exactly one half keeps the text. A null doc_id stays null.
+Repeated rows are judged alike. Columns other than doc_id and text are not
 looked at. Windows of a text are compared by 64-bit hashes within the text.
 """
 
@@ -115,7 +116,7 @@ def judge(docs: DataFrame, rules=RULES) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("posterior", 6).alias("posterior")
     )
 
 
@@ -154,5 +155,5 @@ em as (select 0 as k, cast({START} as double) as share, {", ".join(f"cast({START
     from (select *, 1 / (1 + exp(-({odds}))) as y from em, pats where k < {ROUNDS}) group by k),
 last as (select share, {names} from em where k = {ROUNDS})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {BASE_FAILED} as base_failed,
-    not {BASE_FAILED} and 1 / (1 + exp(-({odds}))) >= 0.5 as kept
+    not {BASE_FAILED} and 1 / (1 + exp(-({odds}))) >= 0.5 as kept, round(1 / (1 + exp(-({odds}))), 6) as posterior
 from v, last"""

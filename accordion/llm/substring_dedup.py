@@ -339,4 +339,4 @@ def without_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    return dedup_words(docs).select(C.doc_id_of(F.col("_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "n_paths", "longest_path")
+    return dedup_words(docs).select(C.doc_id_of(F.col("_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
