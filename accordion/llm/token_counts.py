@@ -7,9 +7,17 @@ the pattern looks one character past white space) until a new boundary falls on
 past the change; from there the old leaves hold, as matching looks only ahead. Then the
 sums on the changed groups' paths are updated.
 
+``keep_trees`` makes a table with each document's leaves and tree; ``apply_edits`` takes
+such a table and a table of edits and gives the table after them: only documents that
+have edits are looked at, and of those only what the edits touch is encoded. The query
+``op8_token_counts`` builds the trees and edits them in one pass (``count_tokens``), as a
+table of all trees between would be written once and read once.
+
 The vocabulary is a public byte-level BPE rank file, read on the driver (its path is a
-parameter) and sent along (under a megabyte). Defined results: null or empty text has no
-tokens; edits are clipped to the text; repeated rows are counted alike.
+parameter) and sent along (under a megabyte). Encoders remember pre-tokens of at most
+``SHORT`` characters, a bounded number. Defined results: null or empty text has no tokens;
+edits are clipped to the text; rows that share a doc_id all get its edits; a null doc_id
+gets none; repeated rows are counted alike.
 """
 
 from __future__ import annotations
@@ -27,7 +35,7 @@ from . import common as C
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that belongs to the vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-GROUP, CACHE = 64, 200_000
+GROUP, CACHE, SHORT = 64, 200_000, 64
 
 
 class Encoder:
@@ -51,7 +59,9 @@ class Encoder:
                 if n is None:
                     n = known.get(pieces[i])
                     if n is None:
-                        n = known[pieces[i]] = len(self.whole.encode_ordinary(pieces[i]))
+                        n = len(self.whole.encode_ordinary(pieces[i]))
+                        if len(pieces[i]) <= SHORT:
+                            known[pieces[i]] = n
                     out[i] = n
         return out
 
@@ -70,6 +80,13 @@ class SegmentTree:
             self.node[half:level] = self.node[level : 2 * level].reshape(-1, 2).sum(1)
             level = half
 
+    @classmethod
+    def of(cls, nodes: np.ndarray) -> SegmentTree:
+        """The tree of these nodes."""
+        tree = cls.__new__(cls)
+        tree.node, tree.size = nodes.copy(), len(nodes) // 2
+        return tree
+
     def set(self, at: int, value: int) -> None:
         at += self.size
         self.node[at] = value
@@ -107,6 +124,21 @@ class TokenTree:
         self.chars = SegmentTree([int(x.sum()) for x in self.lengths])
         self.tokens = SegmentTree([int(x.sum()) for x in self.counts])
 
+    @classmethod
+    def stored(cls, text: str, row: dict, encoder: Encoder) -> TokenTree:
+        """The tree that ``kept`` gave; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.text, tree.encoder, tree.encoded = text, encoder, 0
+        cuts = np.cumsum(np.frombuffer(row["groups"], np.uint32))[:-1]
+        tree.lengths, tree.counts = (np.split(np.frombuffer(row[c], np.uint32).astype(np.int64), cuts) for c in ("lengths", "counts"))
+        tree.chars, tree.tokens = (SegmentTree.of(np.frombuffer(row[c], np.int64)) for c in ("char_sums", "token_sums"))
+        return tree
+
+    def kept(self) -> dict:
+        """Leaves in their groups, and the nodes of both trees."""
+        flat = lambda x: np.concatenate(x).astype(np.uint32).tobytes()
+        return {"lengths": flat(self.lengths), "counts": flat(self.counts), "groups": np.array([len(x) for x in self.lengths], np.uint32).tobytes(), "char_sums": self.chars.node.tobytes(), "token_sums": self.tokens.node.tobytes()}
+
     def total(self) -> int:
         return self.tokens.total()
 
@@ -189,6 +221,64 @@ class TokenTree:
         self._group(np.concatenate([*self.lengths[:a], lengths, *self.lengths[b:]]), np.concatenate([*self.counts[:a], counts, *self.counts[b:]]))
 
 
+TREES = "doc_id long, text string, lengths binary, counts binary, groups binary, char_sums binary, token_sums binary, n_tokens long, n_reencoded long"
+_KEPT = ("lengths", "counts", "groups", "char_sums", "token_sums")
+
+
+def _ranks(vocabulary: str) -> bytes:
+    with open(vocabulary, "rb") as f:
+        return f.read()
+
+
+def _tree_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.string(), *[pa.binary()] * 5, pa.int64(), pa.int64()]
+    names = [c.split()[0] for c in TREES.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+
+def keep_trees(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """A row of the schema TREES for each document; n_reencoded is 0."""
+    ranks = _ranks(vocabulary)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def made(batches):
+        encoder = Encoder(ranks)
+        for s in C.slices_of(batches, 2 << 20):
+            out = []
+            for doc, text in zip(s.column(0).to_pylist(), s.column(1).to_pylist(), strict=True):
+                tree = TokenTree(text, encoder)
+                out.append((doc, text, *tree.kept().values(), tree.total(), 0))
+            yield _tree_batch(out)
+
+    return rows.mapInArrow(made, TREES)
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The trees after edits (doc_id, ord, begin, end, new), each document's in the order of
+    ord: the characters begin to end of the text as it is then give way to new. n_reencoded
+    tells how many pre-tokens were encoded for them."""
+    ranks = _ranks(vocabulary)
+    one = F.struct(F.col("ord").cast("long").alias("ord"), F.col("begin").cast("long").alias("begin"), F.col("end").cast("long").alias("end"), F.coalesce("new", F.lit("")).alias("new"))
+    listed = edits.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.sort_array(F.collect_list(one)).alias("edits"))
+
+    def changed(batches):
+        encoder = Encoder(ranks)
+        for s in C.slices_of(batches, 2 << 20):
+            rows = s.to_pylist()
+            out = []
+            for r in rows:
+                again, total = 0, r["n_tokens"]
+                if r["edits"]:
+                    tree = TokenTree.stored(r["text"], r, encoder)
+                    again = sum(tree.replace(e["begin"], e["end"], e["new"]) for e in r["edits"])
+                    r["text"], total = tree.text, tree.total()
+                    r |= tree.kept()
+                out.append((r["doc_id"], r["text"], *(r[c] for c in _KEPT), total, again))
+            yield _tree_batch(out)
+
+    return trees.join(listed, "doc_id", "left").select(*[c.split()[0] for c in TREES.split(", ")], "edits").mapInArrow(changed, TREES)
+
+
 def edits_of(text: str, source: str) -> list[tuple[int, int, str]]:
     """The edits of the registered query: the first line goes, the source is named in the
     middle, and a full stop is put at the end."""
@@ -200,8 +290,7 @@ def edits_of(text: str, source: str) -> list[tuple[int, int, str]]:
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, edits=edits_of) -> DataFrame:
     """doc_id, n_tokens, n_pretokens, then after the edits n_tokens_after and
     n_reencoded (pre-tokens encoded anew)."""
-    with open(vocabulary, "rb") as f:
-        ranks = f.read()
+    ranks = _ranks(vocabulary)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
 
