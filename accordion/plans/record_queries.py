@@ -11,8 +11,9 @@ from accordion.functions import normalize as N
 from accordion.functions import similarity as S
 from accordion.functions.numbers import exact_round, exact_round_sql
 from accordion.operators import backtest, discovery, matching, resolve, triage
+from accordion.plans import reconcile
 from accordion.plans import tables as T
-from accordion.plans.policy import RISK, WEIGHTS
+from accordion.plans.policy import RISK, WEIGHTS, Policy
 from accordion.plans.store import written
 from accordion.sources import readers, synth
 
@@ -420,7 +421,40 @@ def synthetic_world(spark, sf):
 _DRAW = lambda salt: f"(cast('0x' || substr(md5(cast(c_custkey as varchar) || ':{salt}:7'), 1, 8) as bigint) / 4294967296.0)"
 _PICK = lambda salt, values: f"[{', '.join(chr(39) + v + chr(39) for v in values)}][cast(floor({_DRAW(salt)} * {len(values)}) as int) + 1]"
 _PLACE = lambda s: f"cast(cast(floor({_DRAW('number' + s)} * 9950 + 50) as bigint) as varchar) || ' ' || {_PICK('street' + s, synth.STREETS)} || ', ' || {_PICK('city' + s, synth.CITIES)}"
-_TEL = lambda s: f"'239-555-' || cast(cast(floor({_DRAW('phone' + s)} * 9000 + 1000) as bigint) as varchar)"
+_TEL = lambda s: f"'518-555-' || cast(cast(floor({_DRAW('phone' + s)} * 9000 + 1000) as bigint) as varchar)"
+
+
+def _world() -> str:
+    edges, edge = [], 0.0
+    for name, share in synth.SCENARIOS[:-1]:
+        edge = round(edge + share, 10)
+        edges.append(f"when {_DRAW('scenario')} < {edge} then '{name}'")
+    return f"""world as (select 'SY_' || cast(c_custkey as varchar) as provider_id, {_NPI_OF("('1' || lpad(cast((c_custkey * 7368787 + 7) % 100000000 as varchar), 8, '0'))")} as npi, {_PICK('specialty', sorted(N.SPECIALTY_SEED))} as code,
+    case {" ".join(edges)} else '{synth.SCENARIOS[-1][0]}' end as scenario, {_PLACE('a')} as old_address, {_TEL('a')} as old_phone, {_PLACE('b')} as new_address, {_TEL('b')} as new_phone,
+    case when {_DRAW('noiseaddress')} < {synth.NOISE} then {_PLACE('c')} else {_PLACE('b')} end as true_address, case when {_DRAW('noisephone')} < {synth.NOISE} then {_TEL('c')} else {_TEL('b')} end as true_phone from customer)"""
+
+
+def scale_backtest(spark, sf):
+    """The whole engine on a generated world of as many records as there are customers."""
+    return scale_report(synthetic_world(spark, sf)).select("records", "true_changes", "detected_changes", "correct_detections", "auto_updates", "correct_auto_updates", "routing_correct")
+
+
+def scale_report(world):
+    """The backtest's row for a world; its recommendations go through every step."""
+    world = written(world)
+    rows = synth.source_rows(world)
+    done = reconcile.reconcile(reconcile.Inputs(rows["directory"], rows["registry"], rows["claims"], rows["web"], specialties=readers.specialties(world.sparkSession)), Policy(as_of=T.AS_OF))
+    return backtest.report(written(done.recommendations), rows["truth"], rows["expected"])
+
+
+#: What a right engine makes of each scenario: all real changes are found, a change is right
+#: unless the truth came out otherwise, and those of two agreeing sources and more go through.
+_SCALE = """ch as (select scenario, 'phone' as field, old_phone as was, new_phone as said, true_phone as is_true from world where scenario in ('phone', 'move')
+    union all select scenario, 'address', old_address, new_address, true_address from world where scenario = 'move'
+    union all select scenario, 'address', old_address, new_address, new_address from world where scenario = 'conflict'
+    union all select scenario, 'active', 'Active', 'Inactive', 'Inactive' from world where scenario = 'deactivation'),
+rt as (select count(*) as records, count(*) filter (where scenario = 'no_change' or scenario = 'deactivation' or scenario = 'phone' and old_phone <> new_phone
+    or scenario = 'move' and (old_phone <> new_phone or old_address <> new_address) or scenario = 'conflict' and old_address <> new_address) as routing_correct from world)"""
 
 
 def newest_by_key(spark, sf):
@@ -499,9 +533,10 @@ union all select provider_id, 'practice_name', {_practice('practice_name')}, upp
     "snapshot_cases": (snapshot_cases, f"""with b as ({_SNAP("where o_orderdate < timestamp '1998-06-01'")}), n as ({_SNAP("")}),
 c as (select b.npi, case when b.address <> n.address then n.address end as address, case when coalesce(b.phone, '') <> coalesce(n.phone, '') and n.phone <> '' then n.phone end as phone, case when b.status = 'A' and n.status = 'I' then 'Inactive' end as active from b join n on b.npi = n.npi)
 select *, case when active is not null then 'human_review' when coalesce(address, phone) is not null then 'auto_update' else 'no_change' end as expected_action from c"""),
-    "synthetic_world": (synthetic_world, f"""select 'SY_' || cast(c_custkey as varchar) as provider_id, {_NPI_OF(f"('1' || lpad(cast(cast(floor({_DRAW('npi')} * 100000000) as bigint) as varchar), 8, '0'))")} as npi,
-case when {_DRAW('scenario')} < 0.5 then 'no_change' when {_DRAW('scenario')} < 0.68 then 'auto_update' when {_DRAW('scenario')} < 0.82 then 'conflict' when {_DRAW('scenario')} < 0.9 then 'closure' else 'cold_start' end as scenario,
-{_PLACE('a')} as old_address, {_TEL('a')} as old_phone, {_PLACE('b')} as new_address, {_TEL('b')} as new_phone, {_DRAW('noise')} < 0.04 as noisy from customer"""),
+    "synthetic_world": (synthetic_world, f"with {_world()} select * from world"),
+    "scale_backtest": (scale_backtest, f"""with {_world()}, {_SCALE}
+select any_value(records) as records, count(*) as true_changes, count(*) filter (where said <> was) as detected_changes, count(*) filter (where said <> was and said = is_true) as correct_detections,
+    count(*) filter (where said <> was and scenario in ('phone', 'move')) as auto_updates, count(*) filter (where said <> was and scenario in ('phone', 'move') and said = is_true) as correct_auto_updates, any_value(routing_correct) as routing_correct from ch, rt"""),
     "newest_by_key": (newest_by_key, """with e as (select cast(user_id as varchar) || ':' || event_type as key, event_id, value, props, ts from events)
 select key, event_id, value, json_extract_string(props, '$.k') as k from e qualify row_number() over (partition by key order by ts desc, event_id desc) = 1 and ts > timestamp '2024-01-24 00:00:00'"""),
     "source_sets": (source_sets, f"""with {T.ASSERTIONS}, s as (select provider_id, coalesce(list(distinct source_class) filter (where value = 'F'), []) as f, coalesce(list(distinct source_class) filter (where value <> 'F'), []) as o from a group by 1)
