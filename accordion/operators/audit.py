@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accordion.plans.policy import RISK_LEVELS, lookup
@@ -39,6 +39,12 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+def reviewed(spark: SparkSession, provider_id: str, decision: str, fields: list[str], note: str = "", reviewer: str = "", at=None) -> DataFrame:
+    """A reviewer's decision as a row for ``append``."""
+    rows = spark.createDataFrame([(provider_id, decision, list(fields), note, reviewer)], "provider_id string, decision string, fields array<string>, note string, reviewer string")
+    return rows.withColumn("timestamp", F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
+
+
 def review_queue(trail: DataFrame, decided: DataFrame | None = None) -> DataFrame:
     """One row per record that waits for a reviewer, the gravest and conflicted first."""
     rows = trail.where("decision = 'human_review'")

@@ -29,10 +29,14 @@ def block_keys(records: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(blocked: DataFrame) -> DataFrame:
-    """Each unordered pair of records that share a block, once."""
-    sides = [blocked.select("block", *[F.col(c).alias(f"{c}_{s}") for c in CARRIED]) for s in "ab"]
-    pairs = sides[0].join(sides[1], "block").where("provider_id_a < provider_id_b").drop("block")
-    return pairs.dropDuplicates(["provider_id_a", "provider_id_b"])
+    """Each unordered pair of records that share a block, once. Pairs are made and
+    deduplicated as identifiers; names, places and phones join them afterwards."""
+    ids = [blocked.select("block", F.col("provider_id").alias(f"provider_id_{s}")) for s in "ab"]
+    pairs = ids[0].join(ids[1], "block").where("provider_id_a < provider_id_b").select("provider_id_a", "provider_id_b").distinct()
+    about = blocked.select(*CARRIED).dropDuplicates(["provider_id"])
+    for s in "ab":
+        pairs = pairs.join(about.select(*[F.col(c).alias(f"{c}_{s}") for c in CARRIED]), f"provider_id_{s}")
+    return pairs
 
 
 def scored_pairs(pairs: DataFrame, coordinates: DataFrame | None = None) -> DataFrame:

@@ -17,8 +17,26 @@ REGISTRY = (
 WEB = "provider_id string, sources array<struct<source_name:string, source_label:string, source_class:string, url:string, fields:string>>"
 
 
-def directory(spark: SparkSession, path: str) -> DataFrame:
-    """Records of JSON files that hold a list, or an object with ``records``."""
+EVENT = (
+    "provider_id string, npi string, field string, old_value string, new_value string, decision string, field_confidence double, overall_confidence double, reason string, risk_class string, conflict boolean, "
+    "sources array<struct<source_name:string, source_label:string, source_class:string, url:string, asserted_value:string, weight:double, freshness:double, snapshot_hash:string>>, "
+    "latitude double, longitude double, event_id string, actor string, pipeline_version string, timestamp timestamp"
+)
+DECISION = "provider_id string, decision string, fields array<string>, note string, reviewer string, timestamp timestamp"
+
+
+def _in_file_order() -> list:
+    """Columns that order rows as their files have them: by file, place of the split, and
+    place in it."""
+    return [F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_o")]
+
+
+def directory(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Records of JSON files that hold a list, or an object with ``records`` (such a file is
+    one row of one task); with ``lines`` of files with a record a line, of any size. Lines
+    are numbered within their split, so ``_ord`` only tells apart, it does not count."""
+    if lines:
+        return spark.read.schema(RECORD).json(path).withColumn("_ord", F.monotonically_increasing_id())
     raw = spark.read.text(path, wholetext=True).withColumn("v", F.parse_json("value"))
     inner = F.coalesce(F.try_variant_get("v", "$.records", "variant"), F.col("v"))
     listed = F.from_json(F.to_json(inner), f"array<struct<{_fields(RECORD)}>>")
@@ -30,8 +48,9 @@ def _fields(schema: str) -> str:
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
-    """The first result of each file of the provider registry, flat: the primary taxonomy
-    (else the first) and the practice address (else the first)."""
+    """All results of the files of the provider registry, flat: the primary taxonomy (else
+    the first) and the practice address (else the first); ``_ord`` is the place in the
+    file. A look-up by identifier and the harvest take the first of each npi."""
     raw = spark.read.schema(REGISTRY).option("multiLine", True).json(path).select(F.posexplode("results").alias("_ord", "r"))
     return flat_registry(raw)
 
@@ -135,20 +154,59 @@ def merged_specialties(rows: DataFrame) -> DataFrame:
     return rows.groupBy("code").agg(F.max_by("specialty", F.struct("rank", "ord")).alias("specialty"))
 
 
-def snapshot(spark: SparkSession, path: str) -> DataFrame:
+def snapshot(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """A bulk registry CSV as npi, entity, address, phone, status, first, last, org; the
-    last row of an npi counts."""
-    rows = spark.read.option("header", True).csv(path).withColumn("_o", F.monotonically_increasing_id())
+    last row of an npi counts, files being read in the order of their names. With
+    ``limit`` only that many first rows are read; rows without an npi go."""
+    rows = spark.read.option("header", True).csv(path)
+    rows = rows.select("*", *_in_file_order())
+    if limit is not None:
+        rows = rows.orderBy("_f", "_b", "_o").limit(limit)
     col = lambda n: F.col(f"`{n}`")
     at = lambda n: col(f"Provider Business Practice Location Address {n}")
     address = F.concat_ws(", ", col("Provider First Line Business Practice Location Address"), at("City Name"), F.concat_ws(" ", at("State Name"), normalize.zip5(at("Postal Code"))))
-    rows = rows.select(
+    rows = rows.where(~normalize.blank(col("NPI"))).select(
         col("NPI").alias("npi"), col("Entity Type Code").alias("entity"), address.alias("address"), at("Telephone Number").alias("phone"),
         F.when(normalize.blank(col("NPI Deactivation Date")), "A").otherwise("I").alias("status"), col("Provider First Name").alias("first"), col("Provider Last Name (Legal Name)").alias("last"),
-        col("Provider Organization Name (Legal Business Name)").alias("org"), "_o",
+        col("Provider Organization Name (Legal Business Name)").alias("org"), F.struct("_f", "_b", "_o").alias("_at"),
     )
-    newest = Window.partitionBy("npi").orderBy(F.desc("_o"))
-    return rows.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_k", "_o")
+    return rows.groupBy("npi").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("npi", "_at")]), "_at").alias("r")).select("npi", "r.*")
+
+
+def cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """A file of labelled cases {directory: [...], truth: {id: {changes: {field: value},
+    expected_action}}}: directory (empty if there is none), truth (provider_id, field,
+    value) and expected (provider_id, expected_action)."""
+    raw = spark.read.text(path, wholetext=True).withColumn("v", F.parse_json("value"))
+    listed = F.from_json(F.to_json(F.try_variant_get("v", "$.directory", "variant")), f"array<struct<{_fields(RECORD)}>>")
+    records = raw.select(F.posexplode(listed).alias("_ord", "r")).select("r.*", F.col("_ord").cast("long"))
+    each = F.from_json(F.to_json(F.try_variant_get("v", "$.truth", "variant")), "map<string, struct<changes:map<string,string>, expected_action:string>>")
+    truth = raw.select(F.explode(each).alias("provider_id", "t"))
+    return {"directory": records, "truth": truth.select("provider_id", F.explode("t.changes").alias("field", "value")), "expected": truth.select("provider_id", F.col("t.expected_action").alias("expected_action"))}
+
+
+def trail(spark: SparkSession, path: str) -> DataFrame:
+    """The events of an audit trail of JSON lines."""
+    return spark.read.schema(EVENT).json(path)
+
+
+def decisions(spark: SparkSession, path: str) -> DataFrame:
+    """What reviewers decided, of JSON lines."""
+    return spark.read.schema(DECISION).json(path)
+
+
+def geocoded(records: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """provider_id, matched, canonical, lat, lon of records (provider_id, address). answers:
+    a geocoder's (address, matched_address, lat, lon). Without them an address stands for
+    itself and has no coordinates; an address that they don't have is not matched."""
+    rows = records.select("provider_id", "address")
+    own, known = normalize.address(F.col("address"))["canonical"], ~normalize.blank(F.col("address"))
+    if answers is None:
+        none = F.lit(None).cast("double")
+        return rows.select("provider_id", F.coalesce(known, F.lit(False)).alias("matched"), F.when(known, own).alias("canonical"), none.alias("lat"), none.alias("lon"))
+    first = answers.groupBy("address").agg(F.min(F.struct("matched_address", "lat", "lon")).alias("g"))
+    rows = rows.join(first, "address", "left")
+    return rows.select("provider_id", F.col("g").isNotNull().alias("matched"), F.coalesce(normalize.address(F.col("g.matched_address"))["canonical"], F.when(known, own)).alias("canonical"), "g.lat", "g.lon")
 
 
 def fresh_cache(cache: DataFrame, now, ttl_seconds: int) -> DataFrame:
