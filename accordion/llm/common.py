@@ -9,7 +9,6 @@ that share an id have a defined result.
 from __future__ import annotations
 
 import ctypes
-import gc
 import math
 import re
 import tempfile
@@ -240,7 +239,6 @@ def doc_id_of(column) -> F.Column:
 
 def hand_back() -> None:
     """Gives freed memory back to the system: a worker goes on to serve other tasks."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -323,6 +321,7 @@ def anchor_exchange(docs: DataFrame, anchors: Callable, distinct_rows: bool, buc
     def mapped(batches):
         for group in _gathered(slices_of(batches, piece, name), 8 << 20):
             yield from _anchor_rows(group, anchors, distinct_rows, buckets)
+        hand_back()
 
     def reduced(table: pa.Table) -> pa.Table:
         found = _anchor_verdict(table, distinct_rows)

@@ -46,6 +46,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _TOKENS = "token owner sids pids ns sizes labels clusters members blocks mains"
 BLOCK, PIVOTS, BANDS, ASKERS = 800, 8, 128, 3200
+#: Tokens of a block, and of the sets that one task asks it for.
+BLOCK_TOKENS, ASK_TOKENS = 1 << 20, 1 << 21
 _WHERE = ["label", "cluster", "members", "block", "main"]
 
 
@@ -125,6 +127,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
         for s in C.slices_of(batches):
             tokens, lead = shingle_sets(*C.texts_of(s))
             yield _batch("_id _th n s1 s2", C.longs_of(s, "_id"), C.longs_of(s, "_th"), np.diff(lead), *_set_hash(tokens, lead))
+        C.hand_back()
 
     return C.keyed(docs).mapInArrow(made, "_id long, _th long, n long, s1 long, s2 long")
 
@@ -258,7 +261,7 @@ def _meetings(table: pa.Table) -> pa.Table:
     in one cluster those outside its main component do. One that speaks for others (main
     -1) meets the blocks of its own component too."""
     token, sid, _, n, _, label, cluster, members, block, main = _groups(table)
-    out, held, most = [], 0, 1 << 21
+    out, held, most = [], 0, 1 << 19
     order = np.lexsort((n, block, cluster, -members, token))
     token, sid, n, label, cluster, block, main = (x[order] for x in (token, sid, n, label, cluster, block, main))
     begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
@@ -285,7 +288,7 @@ def _meetings(table: pa.Table) -> pa.Table:
             x = x[near]
             if len(x):
                 out.append(np.stack([np.full(len(x), cluster[a + at]), np.full(len(x), block[a + at]), sid[x]], 1))
-                held += len(x)
+                held += len(x) + 12  # an array of few rows weighs as much as twelve
         if held > most:
             out = [np.unique(np.concatenate(out), axis=0)]
             held = len(out[0])
@@ -426,13 +429,16 @@ def _all_links(links: DataFrame, slim: DataFrame, speakers: DataFrame) -> DataFr
 
 def _placed(members: DataFrame, clusters: DataFrame) -> DataFrame:
     """sid, cluster, size, band, parts and block of clusters (sid, cluster). Clusters of over
-    BLOCK sets are cut in bands of sizes 3 to 4 and these in parts of about BLOCK; others
-    are one block."""
-    size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    rows = clusters.join(size, "cluster").join(members.select("sid", "n"), "sid")
-    rows = rows.withColumn("band", F.when(F.col("size") > BLOCK, F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)))).otherwise(0).cast("long")).drop("n")
-    parts = rows.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
-    rows = rows.join(parts, ["cluster", "band"])
+    BLOCK sets or BLOCK_TOKENS tokens are cut in bands of sizes 3 to 4 and these in parts of
+    about as much; others are one block."""
+    rows = clusters.join(members.select("sid", "n"), "sid")
+    size = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens"))
+    rows = rows.join(size, "cluster")
+    # A cluster of few but long sets is cut like one of many.
+    rows = rows.withColumn("size", F.when(F.col("tokens") > BLOCK_TOKENS, F.greatest("size", F.lit(BLOCK + 1))).otherwise(F.col("size"))).drop("tokens")
+    rows = rows.withColumn("band", F.when(F.col("size") > BLOCK, F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)))).otherwise(0).cast("long"))
+    parts = rows.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("long").alias("parts"))
+    rows = rows.drop("n").join(parts, ["cluster", "band"])
     return rows.withColumn("block", F.col("band") + BANDS * F.pmod(F.xxhash64("sid"), F.col("parts")))
 
 
@@ -457,8 +463,10 @@ def _speaking(rows: DataFrame, speakers: DataFrame) -> DataFrame:
 
 def _across(heads: DataFrame, placed: DataFrame, asking: DataFrame, speakers: DataFrame) -> DataFrame:
     """Links between heads and the blocks (cluster, block, sid) that they are to meet. The
-    askers of a block are dealt over parts of about ``ASKERS``, each with the block's sets."""
-    wanted = asking.groupBy("cluster", "block").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("long").alias("turns"))
+    askers of a block are dealt over parts of about ``ASKERS`` sets and ``ASK_TOKENS`` tokens,
+    each with the block's sets."""
+    sizes = asking.join(heads.select("sid", "n"), "sid")
+    wanted = sizes.groupBy("cluster", "block").agg(F.ceil(F.greatest(F.count(F.lit(1)) / ASKERS, F.sum("n") / ASK_TOKENS)).cast("long").alias("turns"))
     stored = placed.join(wanted, ["cluster", "block"]).select("cluster", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("part"), "sid", F.lit(False).alias("asks"), F.lit(True).alias("stored"))
     asks = asking.join(wanted, ["cluster", "block"]).select("cluster", "block", F.pmod(F.xxhash64("sid"), F.col("turns")).alias("part"), "sid", F.lit(True).alias("asks"), F.lit(False).alias("stored"))
     rows = heads.select("sid", "n", "tokens").join(_speaking(stored.unionByName(asks), speakers), "sid")
