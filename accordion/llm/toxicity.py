@@ -35,6 +35,8 @@ WINDOW, STRIDE, HIDDEN, DIM, ATTEND = 48, 40, 8, 8, 8
 WORDS, GRAMS = 1 << 15, 1 << 13
 PER_CLASS, EPOCHS, EMPTY = 1200, 9, -4.0
 PIECE, LONGEST, SAMPLE_CHARS = 12_000, 200_000, 8_000_000
+#: Windows that go through the network at a time.
+CHUNK = 2048
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -143,10 +145,10 @@ def scores(m: dict | None, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         x = Inputs(data, offsets)
         if len(x.start):
             vec = vectors(m, x)
-            for a in range(0, len(x.start), 8192):
-                grid, active = x.grid(slice(a, a + 8192))
+            for a in range(0, len(x.start), CHUNK):
+                grid, active = x.grid(slice(a, a + CHUNK))
                 logit, _ = forward(m, vec, grid, active)
-                np.maximum.at(best, x.owner[a : a + 8192], logit.astype(np.float64))
+                np.maximum.at(best, x.owner[a : a + CHUNK], logit.astype(np.float64))
     best[np.isneginf(best)] = EMPTY
     return 1 / (1 + np.exp(-np.clip(best, -40, 40)))
 
@@ -242,7 +244,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> dict | None:
     for epoch in range(epochs):
         if epoch in (epochs * 2 // 9, epochs * 4 // 9, epochs * 7 // 9):
             vec = vectors(m, x)
-            level = np.concatenate([forward(m, vec, *x.grid(slice(a, a + 8192)))[0] for a in range(0, len(x.start), 8192)])
+            level = np.concatenate([forward(m, vec, *x.grid(slice(a, a + CHUNK)))[0] for a in range(0, len(x.start), CHUNK)])
         order = np.lexsort((level, x.owner))
         last = order[np.r_[x.owner[order][1:] != x.owner[order][:-1], True]]
         extra = rng.permutation(len(x.start))[: len(last)]
@@ -328,6 +330,7 @@ def score_documents(docs: DataFrame, model: dict | None, name: str = "score", ke
             text = pc.utf8_lower(s.column(text_at).cast(pa.large_string()))
             data, offsets = C.texts_of(pa.RecordBatch.from_arrays([text], names=["text"]))
             yield pa.RecordBatch.from_arrays([*(s.column(i) for i in kept), pa.array(scores(own, data, offsets))], names=[*(f"_c{i}" for i in kept), "_s"])
+        C.hand_back()
 
     out = rows.mapInArrow(scored, T.StructType([*(rows.schema[i] for i in kept), T.StructField("_s", T.DoubleType())]))
     return out.toDF(*[docs.columns[i] for i in kept], name)
