@@ -44,9 +44,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", clean), ("ngram_join", distinct), ("substring_dedup", trimmed), ("mixing", mixed), ("packing", packed)]
 
-#: Stages 1, 2, 3 and 5 are not expressible in SQL. Tests hold the operators behind them
-#: against brute force or known labels; of the stages they check row-count order, columns,
-#: bin sizes and that most toxic documents go, not the rows.
+#: Stages 1, 2, 3 and 5 are not expressible in SQL. Tests hold the rows that each stage
+#: returns against plain loops over its input (stage 1: against the scores of operator 4,
+#: whose network they hold against plain loops).
 ORACLE_SQL = None
 
 
