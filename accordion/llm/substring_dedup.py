@@ -91,8 +91,14 @@ def _spans(docs: DataFrame, k: int, more: tuple, names: tuple) -> tuple[DataFram
     def edges(batches):
         for group in C._gathered(C.slices_of(batches), 8 << 20):
             yield from _edge_rows(group, k, buckets)
+            C.hand_back()
 
-    return rows, near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(_edge_verdict, _FOUND)
+    def verdict(table: pa.Table) -> pa.Table:
+        found = _edge_verdict(table)
+        C.hand_back()
+        return found
+
+    return rows, near.mapInArrow(edges, C.packed_schema(_PIECES)).groupBy("bucket").applyInArrow(verdict, _FOUND)
 
 
 def repeated_paths(docs: DataFrame, k: int = 13) -> DataFrame:
@@ -142,7 +148,8 @@ def _edge_rows(group, k, buckets):
         who = np.repeat(owner[take], count)
         nodes = C.gram_hashes(symbols, k - 1)
         for c, x in zip(cols, (nodes[at], nodes[at + 1], np.repeat(key[take], count), who + seen, at - first[who], at + n_words), strict=True):
-            c.append(x)
+            c.append(x.astype(np.int32) if x.dtype == np.int64 else x)  # places in the batch
+        del nodes, at, who, take
         ids.append(C.longs_of(s, "_id"))
         ths.append(C.longs_of(s, "_th"))
         words.append(symbols)
@@ -150,6 +157,7 @@ def _edge_rows(group, k, buckets):
         n_words += len(symbols)
     left, right, key, owner, at, word = (np.concatenate(c) for c in cols)
     ids, ths, words = np.concatenate(ids), np.concatenate(ths), np.concatenate(words)
+    del cols
     if not len(left):
         return
     number, source = _edges(left, right, ids[owner], ths[owner], at)
@@ -161,6 +169,7 @@ def _edge_rows(group, k, buckets):
     reduced = np.zeros(len(source), bool)
     reduced[number[later]] = True
     mark = reduced[number]
+    del words, word, number
     out = []
 
     # Runs of edges that are sent: one node more than edges.
@@ -238,6 +247,7 @@ def _edge_verdict(table: pa.Table) -> pa.Table:
     if seen:
         left, right, owner, at, reduced = (np.concatenate(c) for c in cols)
         ids, ths = np.concatenate(every_id), np.concatenate(every_th)
+        cols.clear()
         number, source = _edges(left, right, ids[owner], ths[owner], at)
         own = source[number]
         later = ids[owner] > ids[owner[own]]
@@ -311,7 +321,7 @@ def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False, more: tup
                     np.add.at(edge, first[a:b] + length[a:b], -1)
                     kept = list(compress(words, np.cumsum(edge[:-1]) == 0))
                 body = b" ".join(kept)
-                made.append((len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), b - a, int(length[a:b].max(initial=0)), body))
+                made.append((len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), b - a, int(length[a:b].max(initial=0)), body if with_text else b""))
             cols = list(zip(*made, strict=True))
             data = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:2]), pa.array(cols[2], pa.string()), *(pa.array(c, pa.int64()) for c in cols[3:5])]
             made_names = ["_id", "_th", "n_words", "n_removed", "kept_sha256", "n_paths", "longest_path"]
@@ -319,6 +329,7 @@ def dedup_words(docs: DataFrame, k: int = 13, with_text: bool = False, more: tup
                 data.append(pa.array(cols[5], pa.binary()).cast(pa.string()))
                 made_names.append("kept_text")
             yield pa.RecordBatch.from_arrays([*data, *(batch.column(batch.schema.get_field_index(n)) for n in names)], names=[*made_names, *names])
+        C.hand_back()
 
     return joined.mapInArrow(digest, T.StructType([*T._parse_datatype_string(schema), *(joined.schema[n] for n in names)]))
 
