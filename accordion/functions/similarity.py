@@ -19,16 +19,6 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
 
 
-def trigram_codes(c: Column) -> Column:
-    """The trigrams of ``trigrams`` as numbers, three code points of 21 bits each, in time
-    that grows with the text's length only."""
-    points = F.transform(F.split(F.concat(F.lit("  "), F.lower(c), F.lit(" ")), ""), lambda x: F.ascii(x).cast("long"))
-    at = lambda p, i: F.get(p, i)
-    # Within a transform, so that the code points are made once a text.
-    made = F.transform(F.array(points), lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 3), lambda i: F.shiftleft(at(p, i), 42) + F.shiftleft(at(p, i + 1), 21) + at(p, i + 2)))
-    return F.when(c.isNotNull(), F.array_distinct(F.get(made, F.lit(0))))
-
-
 def trigram_similarity(a: Column, b: Column) -> Column:
     missing = a.isNull() | b.isNull() | (a == "") | (b == "")
     shared = F.size(F.array_intersect(trigrams(a), trigrams(b)))

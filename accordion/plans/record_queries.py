@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from accordion.functions import normalize as N
 from accordion.functions import similarity as S
 from accordion.functions.numbers import exact_round, exact_round_sql
-from accordion.operators import backtest, discovery, matching, resolve, triage
+from accordion.operators import backtest, discovery, matching, resolve, similar_texts, triage
 from accordion.plans import reconcile
 from accordion.plans import tables as T
 from accordion.plans.policy import RISK, WEIGHTS, Policy
@@ -169,34 +167,13 @@ def soundex_codes(spark, sf):
     return T.read(spark, sf, "part").select("p_partkey", S.soundex(F.substring_index("p_name", " ", -1)).alias("last"), S.soundex(F.col("p_name")).alias("whole"), S.soundex(F.col("p_type")).alias("kind"))
 
 
-#: Pairs below this never round to 0.82.
-_LEAST = 0.8199
-_WORDS_OF_BITS = 16
-
-
-def _parity(g, k: int):
-    """Bits of the k-th word: which hashes an odd number of trigrams has."""
-    mine = F.filter(g, lambda x: F.pmod(F.xxhash64(x), F.lit(_WORDS_OF_BITS)) == k)
-    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(F.xxhash64(x), 8), F.lit(64)).cast("int"))))
-
-
 def trigram_pairs(spark, sf):
-    """Similar texts, within blocks of language and first letters. Whole sets are compared,
-    but only of pairs whose sizes and parity words allow the threshold: words of two sets
-    differ in no more bits than the sets in trigrams, so both bounds lose no pair."""
-    d = T.read(spark, sf, "documents").select("doc_id", F.concat_ws("|", "lang", F.lower(F.substring("text", 1, 8))).alias("block"), S.trigram_codes(F.col("text")).alias("g")).where("g is not null")
-    sets = d.withColumn("n", F.size("g"))
-    # Sizes of similar sets are in one band or in neighbouring ones.
-    sets = written(sets.withColumns({"band": F.floor(F.log(F.col("n").cast("double")) / -math.log(_LEAST)), **{f"w{k}": _parity(F.col("g"), k) for k in range(_WORDS_OF_BITS)}}))
-    cols = ["g", "n", *(f"w{k}" for k in range(_WORDS_OF_BITS))]
-    left = sets.select("block", F.col("doc_id").alias("id_a"), *[F.col(c).alias(f"{c}_a") for c in cols], F.col("band").alias("own"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    right = sets.select("block", "band", F.col("doc_id").alias("id_b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    once = F.when(F.col("own") == F.col("band"), F.col("id_a") < F.col("id_b")).otherwise(F.col("id_a") != F.col("id_b"))
-    apart = sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in range(_WORDS_OF_BITS)), F.lit(0))
-    near = once & (F.least("n_a", "n_b") >= _LEAST * F.greatest("n_a", "n_b")) & (apart <= (1 - _LEAST) / (1 + _LEAST) * (F.col("n_a") + F.col("n_b")))
-    shared = F.size(F.array_intersect("g_a", "g_b"))
-    pairs = left.join(right, ["block", "band"]).where(near).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), F.round(shared / (F.col("n_a") + F.col("n_b") - shared), 4).alias("similarity"))
-    return pairs.where("similarity >= 0.82")
+    """Similar texts, within blocks of language and first letters; whole texts are compared."""
+    # Letter by letter, as in SQL: no letter that becomes two, no other sigma at a word's end.
+    low = lambda c: F.lower(F.when(c.contains("İ") | c.contains("Σ"), F.translate(c, "İΣ", "iσ")).otherwise(c))
+    text = F.col("text")
+    block = F.concat("lang", F.lit("|"), low(F.substring(text, 1, 8)))
+    return similar_texts.similar_pairs(T.read(spark, sf, "documents").select("doc_id", block.alias("block"), F.concat(F.lit("  "), low(text), F.lit(" ")).alias("text")))
 
 
 _GEO = "select vec_id, label, embedding[1] * 2 + 26 as lat, embedding[2] * 2 - 81 as lon from embeddings"
