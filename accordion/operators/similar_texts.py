@@ -10,8 +10,7 @@
    remainders an odd number of trigrams has. Words of two sets differ in no more bits
    than the sets in trigrams, so this loses no pair. What passes is intersected exactly.
 
-Within a large block the pairs of unlike classes still grow with its square, at some 30 ns
-each. A text without block or doc_id is paired with nothing, as in SQL.
+Within a large block the pairs of unlike classes still grow with its square. A text without block or doc_id is paired with nothing, as in SQL.
 """
 
 from __future__ import annotations
